@@ -60,6 +60,12 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(v) if v else default
 
 
+def time_scale(df: DataFrame, col: str) -> float:
+    """Units of :func:`time_value` per second of a time column (1 otherwise)."""
+    dt = df.schema[col].dataType
+    return 1e6 if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) else 1.0
+
+
 def time_value(df: DataFrame, col: str) -> Column:
     """The ordering column as a number: epoch micros for times, else itself."""
     dt = df.schema[col].dataType
@@ -125,7 +131,21 @@ def with_segments(df: DataFrame, keys: Sequence[str], time_col: str, hot: HotKey
     seg = (F.when(F.col("_width").isNull(), F.lit(None))
            .when(t.isNull(), F.lit(-1))
            .otherwise(F.floor((t - F.col("_min")) / F.col("_width"))))
-    return joined.withColumn(SEG, seg.cast("long")).drop("_min", "_width")
+    return joined.withColumn(SEG, seg.cast("long"))
+
+
+def _range_overlap(seg_df: DataFrame, t: Column, span: float) -> DataFrame:
+    """Copies of rows into later segments whose RANGE frame reaches back to them.
+
+    Segment b' starts at ``_min + b' * _width``; a row at ``t`` is inside
+    its frame when ``t >= start(b') - span``.
+    """
+    last = F.floor((t + F.lit(span) - F.col("_min")) / F.col("_width")).cast("long")
+    first = F.col(SEG) + F.lit(1)
+    targets = F.when(last >= first, F.sequence(first, last))
+    return (seg_df.where(F.col(SEG) >= 0)
+            .withColumn("_tgt", F.explode(targets))
+            .withColumn(SEG, F.col("_tgt")).drop("_tgt"))
 
 
 def _overlap(seg_df: DataFrame, keys: list[str], order: list[Column],
@@ -174,12 +194,15 @@ def _overlap(seg_df: DataFrame, keys: list[str], order: list[Column],
 
 def over_sequence(df: DataFrame, keys: str | Sequence[str], order: Sequence[str | Column],
                   compute: Compute, *, rows_before: int = 0, rows_after: int = 0,
-                  time_col: str | None = None, hot: HotKeys | None | bool = True,
+                  range_before: float = 0, time_col: str | None = None,
+                  hot: HotKeys | None | bool = True,
                   hot_rows: int | None = None, segment_rows: int | None = None) -> DataFrame:
     """Run ``compute(df, partition_cols)`` with windows that split hot keys.
 
     ``order`` is the ascending order inside a key (make it unique with a
     tie-breaker); its first column (or ``time_col``) drives segmentation.
+    ``range_before`` is the reach of a RANGE frame back in time (seconds
+    for time columns, else the column's units).
     ``hot=True`` detects hot keys; pass ``None``/``False`` to skip the
     detection (keys known to be bounded) or a result of :func:`hot_keys`.
     """
@@ -196,9 +219,14 @@ def over_sequence(df: DataFrame, keys: str | Sequence[str], order: Sequence[str
         # partitions by the key (or a superset) reuses it.
         return compute(df.repartition(*keys), keys)
     seg_df = with_segments(df, keys, time_col, hot)
-    extra = _overlap(seg_df.where(F.col(SEG).isNotNull()), keys, order_cols, rows_before, rows_after)
+    hot_part = seg_df.where(F.col(SEG).isNotNull())
+    extra = _overlap(hot_part, keys, order_cols, rows_before, rows_after)
+    if range_before:
+        span = float(range_before) * time_scale(df, time_col)
+        r = _range_overlap(hot_part, time_value(df, time_col), span).withColumn(OVL, F.lit(True))
+        extra = r if extra is None else extra.unionByName(r)
     base = seg_df.withColumn(OVL, F.lit(False))
     both = base if extra is None else base.unionByName(extra)
     part = [*keys, SEG]
-    out = compute(both.repartition(*part), part)
+    out = compute(both.drop("_min", "_width").repartition(*part), part)
     return out.where(~F.col(OVL)).drop(SEG, OVL)
