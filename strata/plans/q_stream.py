@@ -1,3 +1,158 @@
-"""Registered queries (filled in below)."""
+"""Queries over landed files: snapshot ingest, versioned SCD2 store, streams.
 
-from strata.plans.catalog import query  # noqa: F401
+Each query derives its input files from the driver's tables with Spark
+(events written as daily JSON snapshots), runs the operator over them in
+a fresh folder under the session's shared checkpoint directory, and
+returns a read of the result table.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.operators import dedup
+from strata.plans import q_history as H
+from strata.plans.bindings import table
+from strata.plans.catalog import query
+from strata.session import scratch_path
+from strata.sources import snapshots
+from strata.sources.versioned import VersionedHistory
+from strata.streaming import candles as stream_candles_mod
+from strata.streaming import snapshots as stream_snapshots
+
+INGEST_LOAD = dt.datetime(2024, 2, 1, 0, 0, 0)
+WATERMARK = "10 minutes"
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"queries/{name}/{uuid.uuid4().hex}")
+
+
+def write_snapshots(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """events as daily feed snapshots (JSON lines, one folder per day).
+
+    Shapes the feed's quirks: integers for some numeric fields, an extra
+    field, missing fields, ISO times with and without milliseconds, and
+    unparsable times for one event type.
+    """
+    e = table(spark, sf_dir, "events")
+    text = (F.when(F.col("event_type") == "error", F.lit("n/a"))
+            .when(F.col("event_id") % 2 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+            .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    snap = e.select(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("symbol"),
+                    F.col("event_type").alias("name"), F.col("value").alias("current_price"),
+                    F.col("user_id").alias("market_cap_rank"), F.col("event_id").alias("total_volume"),
+                    text.alias("last_updated"), F.col("props"),
+                    F.date_format("ts", "yyyy-MM-dd").alias("snapshot_day"))
+    snap.write.mode("overwrite").partitionBy("snapshot_day").json(path)
+    return path
+
+
+def _snapshot_sql() -> str:
+    given = {
+        "id": "CAST(user_id AS VARCHAR)", "symbol": "event_type", "name": "event_type",
+        "current_price": "value", "market_cap_rank": "CAST(user_id AS DOUBLE)",
+        "total_volume": "CAST(event_id AS DOUBLE)",
+        "last_updated": "CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END",
+    }
+    cols = []
+    for c in snapshots.EXPECTED_COLUMNS:
+        if c in given:
+            cols.append(f"{given[c]} AS {c}")
+        elif c in snapshots.TIME_COLUMNS:
+            cols.append(f"CAST(NULL AS TIMESTAMP) AS {c}")
+        elif c in snapshots.NUMBER_COLUMNS:
+            cols.append(f"CAST(NULL AS DOUBLE) AS {c}")
+        else:
+            cols.append(f"CAST(NULL AS VARCHAR) AS {c}")
+    return ",\n    ".join(cols)
+
+
+@query("snapshot_ingest", f"""
+SELECT {_snapshot_sql()},
+    TIMESTAMP '{INGEST_LOAD:%Y-%m-%d %H:%M:%S}' AS load_time,
+    '{INGEST_LOAD:%Y-%m-%d}' AS partition_date
+FROM events
+""")
+def snapshot_ingest(spark, sf_dir):
+    """A1-A4: JSON snapshots -> fixed schema, widened numbers, lenient times, load stamp."""
+    path = write_snapshots(spark, sf_dir, _scratch(spark, "snapshots"))
+    return snapshots.ingest(spark, path, INGEST_LOAD)
+
+
+@query("scd2_versioned_store", H._APPLY_SQL)
+def scd2_versioned_store(spark, sf_dir):
+    """§7.3: SCD2 on plain files: bootstrap history, apply one load, read back."""
+    hist, batch = H._history_and_batch(spark, sf_dir)
+    store = VersionedHistory(spark, _scratch(spark, "scd2_store"), "id", "name", H._HIST_COLS)
+    store.bootstrap(hist, dt.datetime.fromisoformat(H.SCD2_HISTORY_BEFORE))
+    store.apply_load(batch.drop("load_time"), dt.datetime.fromisoformat(H.SCD2_BATCH_LOAD))
+    return store.read()
+
+
+@query("stream_ohlc", f"""
+WITH c AS (
+    SELECT user_id AS id, date_trunc('hour', ts) AS candle_time,
+        date_trunc('hour', ts) + INTERVAL 1 HOUR AS candle_end,
+        arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+        arg_max(value, (ts, event_id)) AS close, count(*) AS ticks
+    FROM events GROUP BY ALL
+)
+SELECT * FROM c WHERE candle_end <= (SELECT max(ts) - INTERVAL {WATERMARK} FROM events)
+""")
+def stream_ohlc(spark, sf_dir):
+    """L2: watermarked hourly candles from a file stream, appended to a file sink."""
+    schema = table(spark, sf_dir, "events").schema
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+           .select(F.col("user_id").alias("id"), F.col("ts").alias("valid_from"),
+                   F.col("value").alias("current_price"), "event_id"))
+    out = stream_candles_mod.stream_candles(src, "id", "valid_from", "current_price", ["event_id"],
+                                            watermark=WATERMARK)
+    root = _scratch(spark, "stream_ohlc")
+    stream_candles_mod.run_to_table(out, f"{root}/candles", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/candles")
+
+
+_SNAP_STREAM_SCHEMA = T.StructType(snapshots.SNAPSHOT_SCHEMA.fields + [T.StructField("snapshot_day", T.StringType())])
+
+
+def _daily_latest_sql() -> str:
+    return """
+    SELECT id, name, current_price, load_time, total_volume FROM (
+        SELECT CAST(user_id AS VARCHAR) AS id, event_type AS name, value AS current_price,
+               date_trunc('day', ts) AS load_time, CAST(event_id AS DOUBLE) AS total_volume,
+               CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS last_updated
+        FROM events
+    ) s
+    QUALIFY row_number() OVER (PARTITION BY id, load_time ORDER BY last_updated DESC NULLS FIRST,
+                                                               total_volume DESC) = 1"""
+
+
+@query("stream_scd2", f"""
+SELECT id, name, current_price, valid_from, valid_to, valid_to IS NULL AS is_current FROM (
+    SELECT id, name, current_price, load_time AS valid_from,
+           lead(load_time) OVER (PARTITION BY id ORDER BY load_time) AS valid_to
+    FROM (
+        SELECT *, lag(name) OVER w AS prev_name, row_number() OVER w AS rn
+        FROM ({_daily_latest_sql()}) d
+        WINDOW w AS (PARTITION BY id ORDER BY load_time)
+    ) m
+    WHERE rn = 1 OR prev_name IS DISTINCT FROM name
+) v
+""")
+def stream_scd2(spark, sf_dir):
+    """L1: daily snapshot files -> foreachBatch -> newest per (id, load) -> versioned SCD2."""
+    root = _scratch(spark, "stream_scd2")
+    path = write_snapshots(spark, sf_dir, f"{root}/landing")
+    src = spark.readStream.schema(_SNAP_STREAM_SCHEMA).json(path)
+    day = F.to_timestamp(F.col("snapshot_day"), "yyyy-MM-dd").cast("timestamp_ntz")
+    feed = snapshots.normalise(src, keep=["snapshot_day"]).withColumn("load_time", day).drop("snapshot_day")
+    store = VersionedHistory(spark, f"{root}/scd2", "id", "name", ["id", "name", "current_price"])
+    order = dedup.desc_first("last_updated") + [F.col("total_volume").desc()]
+    stream_snapshots.run_snapshot_stream(spark, feed, store, ["id"], order, f"{root}/_checkpoint")
+    return store.read()

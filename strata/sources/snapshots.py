@@ -66,8 +66,11 @@ def read_snapshots(spark: SparkSession, path: str | Sequence[str], multi_line: b
     return reader.format(file_format).load(path)
 
 
-def normalise(df: DataFrame) -> DataFrame:
-    """Keep expected columns (absent ones NULL), parse and cut times (A1-A3)."""
+def normalise(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Keep expected columns (absent ones NULL), parse and cut times (A1-A3).
+
+    ``keep`` names extra columns to carry through (e.g. a load partition).
+    """
     have = set(df.columns)
     cols = []
     for f in SNAPSHOT_SCHEMA.fields:
@@ -76,7 +79,7 @@ def normalise(df: DataFrame) -> DataFrame:
             cols.append(to_seconds(try_ts(c.cast("string"))).alias(f.name))
         else:
             cols.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def stamp(df: DataFrame, load_time: dt.datetime, partition_date: str | None = None) -> DataFrame:
