@@ -86,7 +86,7 @@ def apply_batch(history: DataFrame | None, batch: DataFrame, key: str | Sequence
     # C4: MERGE on (key, valid_from); the inserts are one row per key.
     before = closed.select(*hist_cols).unionByName(updated.select(*hist_cols))
     kept = before.join(inserts.select(*keys, VALID_FROM), on=[*keys, VALID_FROM], how="left_anti")
-    return kept.unionByName(inserts.select(*hist_cols))
+    return kept.select(*hist_cols).unionByName(inserts.select(*hist_cols))
 
 
 def build(log: DataFrame, key: str | Sequence[str], tracked: str | Sequence[str],

@@ -58,7 +58,7 @@ def merge_by_key(target: DataFrame, updates: DataFrame, keys: str | Sequence[str
     types of columns added to the target follow the updates.
     """
     keys = names(keys)
-    kept = target.join(updates.select(*keys), on=keys, how="left_anti")
+    kept = target.join(updates.select(*keys), on=keys, how="left_anti").select(*target.columns)
     if sync:
         kept = sync_columns(kept, updates.columns)
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in updates.schema.fields]

@@ -33,7 +33,11 @@ def _feed(spark, sf_dir):
 
 _FEED_SQL = ("SELECT user_id AS id, event_type AS name, value AS current_price, ts AS last_updated, "
              "date_trunc('day', ts) AS load_time, event_id FROM events")
-_NEWEST = dedup.desc_first("last_updated") + [F.col("event_id").desc()]
+
+
+def _newest():
+    return dedup.desc_first("last_updated") + [F.col("event_id").desc()]
+
 _NEWEST_SQL = "last_updated DESC NULLS FIRST, event_id DESC"
 
 
@@ -45,7 +49,7 @@ SELECT * EXCLUDE (rn) FROM (
 """)
 def latest_per_key(spark, sf_dir):
     """Newest row per id, NULL last_updated first on DESC."""
-    return dedup.latest(_feed(spark, sf_dir), "id", _NEWEST)
+    return dedup.latest(_feed(spark, sf_dir), "id", _newest())
 
 
 @query("silver_dedup", f"""
@@ -64,7 +68,7 @@ def silver_dedup(spark, sf_dir):
     f = _feed(spark, sf_dir)
     raw = f.where(F.col("last_updated") < F.lit(SILVER_RAW_BEFORE).cast("timestamp_ntz"))
     inc = f.where(F.col("last_updated") >= F.lit(SILVER_INC_FROM).cast("timestamp_ntz"))
-    return dedup.union_dedup([raw, inc], ["id", "load_time"], _NEWEST)
+    return dedup.union_dedup([raw, inc], ["id", "load_time"], _newest())
 
 
 @query("latest_two_key_order", f"""
@@ -198,8 +202,8 @@ def incremental_upsert(spark, sf_dir):
     """First load before day 20, then an incremental load of the whole feed."""
     src = _feed(spark, sf_dir)
     first = src.where(F.col("load_time") < F.lit(UPSERT_FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
-    target = upsert.latest_upsert(first, None, "id", _NEWEST)
-    return upsert.latest_upsert(src, target, "id", _NEWEST)
+    target = upsert.latest_upsert(first, None, "id", _newest())
+    return upsert.latest_upsert(src, target, "id", _newest())
 
 
 @query("schema_sync", """
