@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 # Scale of the exact window sums used by ``exact_avg``. Six decimals are
 # exact for the doubles we average (prices and measures given to at most
-# six places); raise it for inputs with finer resolution.
+# six places); raise it for inputs with finer resolution. 38 digits leave
+# room for market-cap sized values (ANSI mode raises on overflow).
 DEFAULT_SUM_SCALE = 6
 
 
@@ -51,7 +52,7 @@ def exact_sum(c, w: WindowSpec, scale: int | None = DEFAULT_SUM_SCALE) -> Column
     c = col_of(c)
     if scale is None:
         return F.sum(c).over(w)
-    return F.sum(c.cast(f"decimal(18,{scale})")).over(w).cast("double")
+    return F.sum(c.cast(f"decimal(38,{scale})")).over(w).cast("double")
 
 
 def exact_avg(c, w: WindowSpec, scale: int | None = DEFAULT_SUM_SCALE) -> Column:

@@ -83,9 +83,11 @@ def trading_signals(indicators: DataFrame, key: str | Sequence[str] = "id",
 def signal_chain(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "valid_from",
                  price: str = "current_price", tiebreak: Sequence[str] = (),
                  spans: Sequence[int] = DEFAULT_SPANS, scale: int | None = DEFAULT_SUM_SCALE,
-                 parse: bool = False, hot=True) -> DataFrame:
+                 parse: bool = False, hot=True, with_signal: bool = True) -> DataFrame:
     """Observations -> candles -> averages -> signals in one plan.
 
+    ``with_signal=False`` stops after the averages (I7 over raw ticks).
+
     Without hot keys this is one exchange on the key and one sort, all
     windows sharing them. With hot keys, candles are computed per (key,
     hour) first and the averages and signals run over time segments with
@@ -95,13 +97,14 @@ def signal_chain(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "vali
     keys, tiebreak = names(key), list(tiebreak)
     order = ["candle_time", ts, *tiebreak]
     fast, slow = ma_name(min(spans)), ma_name(max(spans))
-    out_cols = [*keys, "candle_time", ts, "close", *[ma_name(n) for n in spans], "signal"]
+    out_cols = [*keys, "candle_time", ts, "close", *[ma_name(n) for n in spans]]
+    out_cols += ["signal"] if with_signal else []
     if hot is True:
         hot = hot_keys(df, keys, ts)
 
     def indicators_and_signal(d, part):
         d = add_moving_averages(d, part, order, "close", spans, scale)
-        return add_signal(d, part, order, fast, slow)
+        return add_signal(d, part, order, fast, slow) if with_signal else d
 
     if not hot:
         def compute(d, part):
@@ -109,5 +112,6 @@ def signal_chain(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "vali
             return indicators_and_signal(d, part)
         return over_sequence(df, keys, order, compute, time_col=ts, hot=None).select(*out_cols)
     rows = ohlc.candle_rows(df, keys, ts, price, tiebreak, parse=parse)
-    return over_sequence(rows, keys, order, indicators_and_signal, rows_before=max(spans),
+    reach = max(spans) if with_signal else max(spans) - 1
+    return over_sequence(rows, keys, order, indicators_and_signal, rows_before=reach,
                          time_col=ts, hot=hot).select(*out_cols)

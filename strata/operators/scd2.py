@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import all_same, changed, names
-from strata.operators.sequence import over_sequence
+from strata.operators.sequence import hot_keys, over_sequence
 
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 
@@ -83,10 +83,17 @@ def apply_batch(history: DataFrame | None, batch: DataFrame, key: str | Sequence
     cond.append(all_same([inserts_all[t] for t in tracked], [c[f"_c_{t}"] for t in tracked], null_safe))
     inserts = inserts_all.join(c, on=cond, how="left_anti")
 
-    # C4: MERGE on (key, valid_from); the inserts are one row per key.
-    before = closed.select(*hist_cols).unionByName(updated.select(*hist_cols))
-    kept = before.join(inserts.select(*keys, VALID_FROM), on=[*keys, VALID_FROM], how="left_anti")
-    return kept.select(*hist_cols).unionByName(inserts.select(*hist_cols))
+    # C4: MERGE on (key, valid_from). Only rows opened at or after the
+    # batch's earliest load time can match an insert, so closed history
+    # older than that passes through without a join (no history shuffle).
+    first_load = batch.agg(F.min(F.col(load_col).cast("timestamp_ntz")).alias("m")).first()["m"]
+    if first_load is None:
+        return closed.select(*hist_cols).unionByName(updated.select(*hist_cols))
+    recent = F.col(VALID_FROM) >= F.lit(first_load)
+    old = closed.where(~recent | F.col(VALID_FROM).isNull()).select(*hist_cols)
+    touchable = closed.where(recent).select(*hist_cols).unionByName(updated.select(*hist_cols))
+    kept = touchable.join(inserts.select(*keys, VALID_FROM), on=[*keys, VALID_FROM], how="left_anti")
+    return old.unionByName(kept.select(*hist_cols)).unionByName(inserts.select(*hist_cols))
 
 
 def build(log: DataFrame, key: str | Sequence[str], tracked: str | Sequence[str],
@@ -103,6 +110,10 @@ def build(log: DataFrame, key: str | Sequence[str], tracked: str | Sequence[str]
     columns = list(columns) if columns is not None else [
         c for c in log.columns if c not in (load_col, *tiebreak)]
     order = [load_col, *tiebreak]
+    if hot is True:
+        # Detect once on the log: a key's versions are a subset of its rows,
+        # and valid_from takes the load_col values the segments were cut on.
+        hot = hot_keys(log, keys, load_col)
 
     def mark(d, part):
         w = Window.partitionBy(*part).orderBy(*order)

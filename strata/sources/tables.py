@@ -39,8 +39,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     obs = Observation("rows_written")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(file_format)
     if partition_by:
-        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.save(path)
     return int(obs.get.get("n", 0))
 

@@ -2,16 +2,18 @@
 
 Layout under ``root`` (any Hadoop filesystem the cluster shares)::
 
-    history/closed_by=v<load>/   rows closed by that load (written once)
-    current/v=<load>/            every open row after that load
-    _commits/<load>              empty marker: the load is complete
+    data/version=v<load>/kind=closed/    rows closed by that load
+    data/version=v<load>/kind=current/   every open row after that load
+    _commits/<load>                      empty marker: the load is complete
 
 A load reads only the current set of the last committed version, applies
 the batch (:func:`strata.operators.scd2.apply_batch` for one load,
-:func:`apply_loads` for several), writes the rows it closed and the new
-current set to fresh paths, and commits by creating its marker last. A
-failed load leaves no marker, so readers keep the old version and a rerun
-overwrites the half-written paths. Loads at or below the committed
+:func:`apply_loads` for several), writes closed rows and the new current
+set in ONE job (``partitionBy("kind")`` into the load's own folder), and
+commits by creating its marker last. A failed load leaves no marker, so
+readers keep the old version and a rerun overwrites the half-written
+folder. Readers prune partitions: the committed version's current rows
+plus closed rows of versions up to it. Loads at or below the committed
 version are late: dropped and counted, never merged twice. Cost per load
 is the current set plus the batch, never the whole history.
 """
@@ -21,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import names
@@ -66,40 +68,51 @@ class VersionedHistory:
         fs.create(p, True).close()
 
     # -- reads ----------------------------------------------------------------
+    def _version_dir(self, v: str) -> str:
+        return f"{self.root}/data/version=v{v}"
+
+    def _exists(self, rel: str) -> bool:
+        p = self._path(rel)
+        return bool(self._fs(p).exists(p))
+
     def current(self) -> DataFrame | None:
+        """Open rows of the committed version (None when there are none)."""
         v = self.version()
-        if v is None:
+        if v is None or not self._exists(f"data/version=v{v}/kind=current"):
             return None
-        return self.spark.read.parquet(f"{self.root}/current/v={v}")
+        return self.spark.read.parquet(f"{self._version_dir(v)}/kind=current")
 
     def read(self) -> DataFrame | None:
         """Whole history as of the committed version (current set + closed rows)."""
         v = self.version()
-        if v is None:
+        if v is None or not self._exists("data"):
             return None
-        cur = self.spark.read.parquet(f"{self.root}/current/v={v}")
-        hist_root = f"{self.root}/history"
-        if not self._fs(self._path("history")).exists(self._path("history")):
-            return cur
-        closed = (self.spark.read.option("basePath", hist_root).parquet(hist_root)
-                  .where(F.col("closed_by") <= F.lit(f"v{v}")).drop("closed_by"))
-        return cur.unionByName(closed.select(*cur.columns))
+        data = self.spark.read.option("basePath", f"{self.root}/data").parquet(f"{self.root}/data")
+        keep = (((F.col("version") == F.lit(f"v{v}")) & (F.col("kind") == "current"))
+                | ((F.col("version") <= F.lit(f"v{v}")) & (F.col("kind") == "closed")))
+        cols = [*self.columns, scd2.VALID_FROM, scd2.VALID_TO, scd2.IS_CURRENT]
+        return data.where(keep).select(*cols)
 
     # -- writes ---------------------------------------------------------------
-    def _write(self, closed: DataFrame, current: DataFrame, version: str) -> dict:
-        from strata.sources.tables import overwrite
+    def _write(self, result: DataFrame, version: str) -> dict:
+        """Closed rows and the new current set of one load, one job, then commit."""
         cols = [*self.columns, scd2.VALID_FROM, scd2.VALID_TO, scd2.IS_CURRENT]
-        n_closed = overwrite(closed.select(*cols), f"{self.root}/history/closed_by=v{version}")
-        n_current = overwrite(current.select(*cols), f"{self.root}/current/v={version}")
+        kind = F.when(F.col(scd2.IS_CURRENT), F.lit("current")).otherwise(F.lit("closed"))
+        obs = Observation(f"scd2_load_{version}")
+        out = (result.select(*cols).withColumn("kind", kind)
+               .observe(obs, F.count_if(F.col("kind") == "closed").alias("closed"),
+                        F.count_if(F.col("kind") == "current").alias("current")))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("kind").parquet(self._version_dir(version)))
         self._commit(version)
-        return {"version": version, "closed": n_closed, "current": n_current}
+        m = obs.get
+        return {"version": version, "closed": int(m.get("closed", 0)), "current": int(m.get("current", 0))}
 
     def bootstrap(self, history: DataFrame, load_time: dt.datetime) -> dict:
         """Store an initial history (e.g. from :func:`scd2.build`) as version ``load_time``."""
         if self.version() is not None:
             raise ValueError(f"{self.root} already holds version {self.version()}")
-        v = version_of(load_time)
-        return self._write(history.where(~F.col(scd2.IS_CURRENT)), history.where(F.col(scd2.IS_CURRENT)), v)
+        return self._write(history, version_of(load_time))
 
     def apply_load(self, batch: DataFrame, load_time: dt.datetime, null_safe: bool = True) -> dict:
         """One load: ``batch`` holds at most one row per key (the load's newest rows)."""
@@ -110,8 +123,8 @@ class VersionedHistory:
         stamped = batch.withColumn("load_time", F.lit(load_time).cast("timestamp_ntz"))
         cur = self.current()
         out = scd2.apply_batch(cur, stamped, self.keys, self.tracked, self.columns, "load_time", null_safe)
-        # Everything not current in the result was closed by this load.
-        return self._write(out.where(~F.col(scd2.IS_CURRENT)), out.where(F.col(scd2.IS_CURRENT)), v)
+        # The input was the open set only: whatever is closed now, this load closed.
+        return self._write(out, v)
 
     def apply_loads(self, log: DataFrame, load_col: str = "load_time",
                     tiebreak: Sequence[str] = ()) -> dict:
@@ -125,8 +138,7 @@ class VersionedHistory:
         if newest is None:
             return {"version": prev, "late": True, "closed": 0, "current": None}
         out = apply_loads(self.current(), log, self.keys, self.tracked, self.columns, load_col, tiebreak)
-        return self._write(out.where(~F.col(scd2.IS_CURRENT)), out.where(F.col(scd2.IS_CURRENT)),
-                           version_of(newest))
+        return self._write(out, version_of(newest))
 
 
 def apply_loads(current: DataFrame | None, log: DataFrame, key: str | Sequence[str],

@@ -112,7 +112,7 @@ def test_versioned_store_commit_rerun_and_late(spark, scratch):
     # a crashed load (files written, no commit marker) is invisible and is replaced by its rerun
     cur = store.current()
     from strata.sources.tables import overwrite
-    overwrite(cur.limit(0), f"{scratch}/scd2/current/v=20240103000000000000")
+    overwrite(cur.limit(0), f"{scratch}/scd2/data/version=v20240103000000000000/kind=current")
     assert store.version() == "20240102000000000000"
     store.apply_load(_batch(spark, [("b", "Z", 3)], "2024-01-03").drop("load_time"), dt.datetime(2024, 1, 3))
     assert store.current().count() == 2
