@@ -7,11 +7,15 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
-# Scale of the exact window sums used by ``exact_avg``. Six decimals are
-# exact for the doubles we average (prices and measures given to at most
-# six places); raise it for inputs with finer resolution. 38 digits leave
-# room for market-cap sized values (ANSI mode raises on overflow).
+# Scale and precision of the exact window sums used by ``exact_avg``. Six
+# decimals are exact for the doubles we average (prices given to at most
+# six places); raise the scale for finer inputs. 18 digits keep Spark's
+# long-backed decimal fast path (about 1.5x faster than 38 on the signal
+# chain) and hold values below 10^12; larger values make the cast overflow,
+# which ANSI mode reports as an error rather than a wrong result. Pass
+# ``precision=38`` for such columns.
 DEFAULT_SUM_SCALE = 6
+DEFAULT_SUM_PRECISION = 18
 
 
 def col_of(c) -> Column:
@@ -47,15 +51,17 @@ def all_same(left: Iterable[Column], right: Iterable[Column], null_safe: bool =
     return out
 
 
-def exact_sum(c, w: WindowSpec, scale: int | None = DEFAULT_SUM_SCALE) -> Column:
+def exact_sum(c, w: WindowSpec, scale: int | None = DEFAULT_SUM_SCALE,
+              precision: int = DEFAULT_SUM_PRECISION) -> Column:
     """Window sum in fixed point so every engine gets the same double."""
     c = col_of(c)
     if scale is None:
         return F.sum(c).over(w)
-    return F.sum(c.cast(f"decimal(38,{scale})")).over(w).cast("double")
+    return F.sum(c.cast(f"decimal({precision},{scale})")).over(w).cast("double")
 
 
-def exact_avg(c, w: WindowSpec, scale: int | None = DEFAULT_SUM_SCALE) -> Column:
+def exact_avg(c, w: WindowSpec, scale: int | None = DEFAULT_SUM_SCALE,
+              precision: int = DEFAULT_SUM_PRECISION) -> Column:
     """``AVG(x) OVER w`` computed as exact fixed-point sum / count.
 
     A double ``avg`` over a sliding frame depends on summation order, so
@@ -66,7 +72,7 @@ def exact_avg(c, w: WindowSpec, scale: int | None = DEFAULT_SUM_SCALE) -> Column
     c = col_of(c)
     if scale is None:
         return F.avg(c).over(w)
-    return exact_sum(c, w, scale) / F.count(c).over(w)
+    return exact_sum(c, w, scale, precision) / F.count(c).over(w)
 
 
 def prefixed(prefix: str, cols: Iterable[str]) -> list[Column]:

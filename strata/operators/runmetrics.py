@@ -109,16 +109,12 @@ def alert_firings(history: DataFrame, rules: Sequence[Rule], metric: str = "metr
 
     flagged = over_sequence(mine, [metric], [ts], compute, range_before=longest, time_col=ts, hot=hot)
     flagged = flagged.join(first_seen, metric)
-    parts = []
-    for i, r in enumerate(rules):
-        covered = seconds_between("_first", ts) >= F.lit(r.for_seconds)
-        parts.append(flagged.where(F.col(f"_r{i}") & covered).select(
-            F.lit(r.alert).alias("alert"), F.col(metric).alias("metric"),
-            F.col(ts).alias("fired_at"), F.col(value).cast("double").alias("observed")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # One pass: each sample carries the names of the rules firing at it.
+    firing = [F.when(F.col(f"_r{i}") & (seconds_between("_first", ts) >= F.lit(r.for_seconds)),
+                     F.lit(r.alert)) for i, r in enumerate(rules)]
+    alerts = F.filter(F.array(*firing), lambda a: a.isNotNull())
+    return (flagged.select(F.explode(alerts).alias("alert"), F.col(metric).alias("metric"),
+                           F.col(ts).alias("fired_at"), F.col(value).cast("double").alias("observed")))
 
 
 def stale_alerts(history: DataFrame, as_of: dt.datetime, key: str = "metric", ts: str = "ts",
