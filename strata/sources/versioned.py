@@ -37,21 +37,22 @@ def version_of(load_time: dt.datetime) -> str:
     return load_time.strftime(_FMT)
 
 
-class VersionedHistory:
-    """One SCD2 table stored as immutable history partitions + current versions."""
+class _Versioned:
+    """Commit markers and version folders on a Hadoop filesystem."""
 
-    def __init__(self, spark: SparkSession, root: str, key: str | Sequence[str],
-                 tracked: str | Sequence[str], columns: Sequence[str]):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.keys, self.tracked, self.columns = names(key), names(tracked), list(columns)
 
-    # -- filesystem helpers (Hadoop FileSystem through the session) ------------
     def _path(self, rel: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{rel}")
 
     def _fs(self, p):
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _exists(self, rel: str) -> bool:
+        p = self._path(rel)
+        return bool(self._fs(p).exists(p))
+
     def version(self) -> str | None:
         """Newest committed version, or None for an empty table."""
         p = self._path("_commits")
@@ -67,14 +68,52 @@ class VersionedHistory:
         fs.mkdirs(self._path("_commits"))
         fs.create(p, True).close()
 
-    # -- reads ----------------------------------------------------------------
     def _version_dir(self, v: str) -> str:
         return f"{self.root}/data/version=v{v}"
 
-    def _exists(self, rel: str) -> bool:
-        p = self._path(rel)
-        return bool(self._fs(p).exists(p))
 
+class VersionedTable(_Versioned):
+    """A table replaced as a whole per load, readable while the next one is written.
+
+    Each load writes ``data/version=v<load>/`` and then commits; readers see
+    the newest committed version. Used for models that read their own
+    previous state (the newest-row table reads itself for its high-water
+    mark and merge), which a plain overwrite of the same path cannot do.
+    """
+
+    def read(self) -> DataFrame | None:
+        v = self.version()
+        return None if v is None else self.spark.read.parquet(self._version_dir(v))
+
+    def is_late(self, load_time: dt.datetime) -> bool:
+        """True when ``load_time`` is at or below the committed version."""
+        prev = self.version()
+        return prev is not None and version_of(load_time) <= prev
+
+    def write(self, df: DataFrame, load_time: dt.datetime) -> int:
+        """Write and commit version ``load_time``; late versions are refused.
+
+        A committed version is never rewritten: it may be the input of the
+        very DataFrame being written.
+        """
+        from strata.sources.tables import overwrite
+        if self.is_late(load_time):
+            raise ValueError(f"{self.root}: version {version_of(load_time)} is not newer than {self.version()}")
+        v = version_of(load_time)
+        n = overwrite(df, self._version_dir(v))
+        self._commit(v)
+        return n
+
+
+class VersionedHistory(_Versioned):
+    """One SCD2 table stored as immutable history partitions + current versions."""
+
+    def __init__(self, spark: SparkSession, root: str, key: str | Sequence[str],
+                 tracked: str | Sequence[str], columns: Sequence[str]):
+        super().__init__(spark, root)
+        self.keys, self.tracked, self.columns = names(key), names(tracked), list(columns)
+
+    # -- reads ----------------------------------------------------------------
     def current(self) -> DataFrame | None:
         """Open rows of the committed version (None when there are none)."""
         v = self.version()
