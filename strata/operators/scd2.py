@@ -134,14 +134,22 @@ def build(log: DataFrame, key: str | Sequence[str], tracked: str | Sequence[str]
     return out.select(*columns, VALID_FROM, VALID_TO, IS_CURRENT)
 
 
-def new_in_last_load(history: DataFrame, columns: Sequence[str]) -> DataFrame:
+def newest_valid_from(history: DataFrame):
+    """``SELECT MAX(valid_from)`` as a Python value (one partial aggregate)."""
+    return history.agg(F.max(VALID_FROM).alias("m")).first()["m"]
+
+
+def new_in_last_load(history: DataFrame, columns: Sequence[str], newest=None) -> DataFrame:
     """Current rows whose valid_from is the newest in the table.
 
-    The maximum is a scalar subquery, planned as a one-row aggregate
-    evaluated before the filter.
+    The scalar subquery is evaluated first and applied as a literal: on a
+    stored history the equality prunes row groups, and the filter is not
+    copied (with its subquery plan) into every branch of a union below it.
     """
-    newest = history.agg(F.max(VALID_FROM).alias("m"))
-    return history.where((F.col(VALID_FROM) == newest.scalar()) & F.col(IS_CURRENT)).select(*columns)
+    m = newest_valid_from(history) if newest is None else newest
+    if m is None:
+        return history.where(F.lit(False)).select(*columns)
+    return history.where((F.col(VALID_FROM) == F.lit(m)) & F.col(IS_CURRENT)).select(*columns)
 
 
 def one_current_violations(history: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -67,3 +67,13 @@ def test_partition_keys(spark):
     assert [k.partition_key for k in keys] == ["2024-01-01", "2024-01-02", "2024-01-03"]
     months = tables.partition_keys(spark, "2024-01-15", "2024-03-02", "month").count()
     assert months == 3
+
+
+def test_strict_cast_raises_under_ansi(spark):
+    import pytest
+    from strata.functions.timefns import strict_ts
+    good = spark.createDataFrame([("2024-01-01 10:00:00",)], "s string")
+    assert good.select(strict_ts("s").alias("t")).first().t == dt.datetime(2024, 1, 1, 10)
+    bad = spark.createDataFrame([("bad",)], "s string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        bad.select(strict_ts("s")).collect()
