@@ -89,8 +89,9 @@ def signal_chain(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "vali
     ``with_signal=False`` stops after the averages (I7 over raw ticks).
 
     Without hot keys this is one exchange on the key and one sort, all
-    windows sharing them. With hot keys, candles are computed per (key,
-    hour) first and the averages and signals run over time segments with
+    windows sharing them. With hot keys, candles come from a partial
+    aggregate per (key, hour) joined back to the rows, and the averages and
+    signals run over time segments with
     ``max(spans)`` rows of overlap (the lag of the slow average reaches
     that far back).
     """
@@ -111,7 +112,7 @@ def signal_chain(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "vali
             d = ohlc.add_ohlc(ohlc.prices(d, keys, ts, price, parse=parse), part, ts, price, tiebreak)
             return indicators_and_signal(d, part)
         return over_sequence(df, keys, order, compute, time_col=ts, hot=None).select(*out_cols)
-    rows = ohlc.candle_rows(df, keys, ts, price, tiebreak, parse=parse)
+    rows = ohlc.candle_rows_by_join(df, keys, ts, price, tiebreak, parse=parse)
     reach = max(spans) if with_signal else max(spans) - 1
     return over_sequence(rows, keys, order, indicators_and_signal, rows_before=reach,
                          time_col=ts, hot=hot).select(*out_cols)

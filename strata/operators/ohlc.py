@@ -62,15 +62,38 @@ def candle_rows(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "valid
     return out.select(*keys, "candle_time", ts, *OHLC, *tiebreak)
 
 
+def _ohlc_agg(p: DataFrame, keys: Sequence[str], ts: str, price: str, tiebreak: Sequence[str]) -> DataFrame:
+    # A struct is never NULL, so rows with a NULL time still take part and
+    # sort first, as in FIRST_VALUE ... ORDER BY ts (NULLS FIRST).
+    order = F.struct(F.col(ts), *[F.col(c) for c in tiebreak])
+    pr = F.col(price)
+    return (p.groupBy(*keys, "candle_time")
+            .agg(F.min_by(pr, order).alias("open"), F.max(pr).alias("high"),
+                 F.min(pr).alias("low"), F.max_by(pr, order).alias("close"),
+                 F.count(F.lit(1)).alias("ticks")))
+
+
 def candles_hourly(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "valid_from",
                    price: str = "current_price", tiebreak: Sequence[str] = (),
                    unit: str = "hour", parse: bool = False) -> DataFrame:
     """One row per (key, bucket) (D6): min_by/max_by on the order key."""
     keys = names(key)
+    return _ohlc_agg(prices(df, keys, ts, price, unit, parse), keys, ts, price, tiebreak)
+
+
+def candle_rows_by_join(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "valid_from",
+                        price: str = "current_price", tiebreak: Sequence[str] = (),
+                        unit: str = "hour", parse: bool = False) -> DataFrame:
+    """:func:`candle_rows` for inputs with hot keys.
+
+    The OHLC of each bucket comes from a partial aggregate (one row per key
+    and bucket per map task), joined back to the rows on (key, bucket)
+    with null-safe equality. No bucket is ever gathered into one task: AQE
+    splits a skewed join partition of the row side.
+    """
+    keys = names(key)
     p = prices(df, keys, ts, price, unit, parse)
-    order = F.struct(F.col(ts), *[F.col(c) for c in tiebreak]) if tiebreak else F.col(ts)
-    pr = F.col(price)
-    return (p.groupBy(*keys, "candle_time")
-            .agg(F.min_by(pr, order).alias("open"), F.max(pr).alias("high"),
-                 F.min(pr).alias("low"), F.max_by(pr, order).alias("close"),
-                 F.count(F.lit(1)).alias("ticks")))
+    c = _ohlc_agg(p, keys, ts, price, tiebreak).drop("ticks")
+    c = c.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col("candle_time").alias("_c_time"), *OHLC)
+    on = [p[k].eqNullSafe(c[f"_c_{k}"]) for k in keys] + [p["candle_time"].eqNullSafe(c["_c_time"])]
+    return p.join(c, on=on, how="inner").select(*keys, "candle_time", ts, *OHLC, *tiebreak)

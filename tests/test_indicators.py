@@ -73,3 +73,15 @@ def test_moving_average_short_frames_average_what_exists(spark):
     out = indicators.moving_averages(c, spans=(2, 10))
     got = [(r.ma_2, r.ma_10) for r in sorted(out.collect(), key=lambda r: r.valid_from)]
     assert got == [(1.0, 1.0), (1.5, 1.5), (2.5, 2.0), (3.5, 2.5)]
+
+
+def test_candles_by_join_equal_window_candles(spark):
+    data = [(k, f"2024-01-01 {h:02d}:{m:02d}:00", (h * 7 + m * 3 + k) % 11) for k in (1, 2) for h in range(3)
+            for m in (1, 20, 40)]
+    df = _ticks(spark, data).unionByName(
+        spark.createDataFrame([(None, ts("2024-01-01 01:00:00"), 4.0), (3, None, 5.0), (3, None, 6.0)],
+                              "id long, valid_from timestamp_ntz, current_price double"))
+    a = rows(ohlc.candle_rows(df))
+    b = rows(ohlc.candle_rows_by_join(df))
+    assert len(a) == len(b) == df.count()
+    assert [r for r in a if r[2] is not None] == [r for r in b if r[2] is not None]
