@@ -23,8 +23,14 @@ def foreach_load(store: VersionedHistory, key: Sequence[str], order: Sequence[Co
                  load_col: str = "load_time", tiebreak: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function applying each micro-batch to ``store``."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        newest = latest(batch, [*key, load_col], order)
-        store.apply_loads(newest, load_col, tiebreak)
+        # The batch function runs several jobs (bound, hot-key stats, write);
+        # keep the deduplicated micro-batch instead of re-reading its files.
+        # A lost cached block is recomputed from the micro-batch's lineage.
+        newest = latest(batch, [*key, load_col], order).persist()
+        try:
+            store.apply_loads(newest, load_col, tiebreak)
+        finally:
+            newest.unpersist()
     return apply
 
 
