@@ -7,7 +7,7 @@ Every check yields rows of one shape::
 Scalar checks (not_null, between, accepted_values, row_count, freshness)
 are aggregate expressions; a suite fuses all of them for one table into a
 single ``agg`` (one scan, partial aggregation) and unpivots the one-row
-result with ``stack``. Set checks (unique, compound unique, violations)
+result into one row per check (``explode`` of an array of structs). Set checks (unique, compound unique, violations)
 are their own grouped aggregations. Only the result rows (one per check)
 ever reach the driver, in :func:`gate`.
 """
@@ -38,15 +38,15 @@ class Check:
     """A check over one table.
 
     ``metric`` is an aggregate expression (scalar checks) or None for set
-    checks, which implement ``frame_metric`` instead. ``ok`` turns the
-    observed value into pass/fail.
+    checks, whose ``set_metric`` names the grouped computation. ``ok``
+    turns the observed value into pass/fail.
     """
     name: str
     column: str | None
     threshold: float | None
     severity: str = "error"
     metric: Column | None = None
-    ok: str = "eq"  # eq | le | ge | not_null_le
+    ok: str = "eq"  # eq | le | ge
     set_metric: object = field(default=None, compare=False)
 
     def passed(self, observed: Column) -> Column:

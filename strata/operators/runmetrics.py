@@ -56,18 +56,24 @@ def run_rollup(model_runs: DataFrame, tracked_model: str = "scd2") -> DataFrame:
         F.max("executed_at").alias("finished_at"))
 
 
-def last_run_gauges(rollup: DataFrame, new_records: Column | None = None) -> DataFrame:
+def last_run_gauges(rollup: DataFrame, new_records: int | None = None) -> DataFrame:
     """Gauges of the newest run as (gauge, value) rows (K3).
 
     ``max_by`` on the run's finish time is a partially aggregated global
-    aggregate; ``stack`` unpivots its single row.
+    aggregate; ``stack`` unpivots its single row. ``new_records`` (e.g. the
+    row count of :func:`strata.operators.scd2.new_in_last_load`) adds the
+    new-records gauge.
     """
     last = rollup.agg(F.max_by(F.struct("status", "total_execution_seconds", "tracked_rows", "run_id"),
                                F.struct("finished_at", "run_id")).alias("l"))
-    return last.select(F.expr(
+    gauges = last.select(F.expr(
         "stack(3, 'run_success', CAST(CAST(l.status = 'success' AS INT) AS DOUBLE), "
         "'run_duration_seconds', CAST(l.total_execution_seconds AS DOUBLE), "
         "'tracked_rows_affected', CAST(l.tracked_rows AS DOUBLE)) AS (gauge, value)"))
+    if new_records is None:
+        return gauges
+    extra = last.select(F.lit("new_records_total").alias("gauge"), F.lit(float(new_records)).alias("value"))
+    return gauges.unionByName(extra)
 
 
 @dataclass(frozen=True)

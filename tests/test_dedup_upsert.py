@@ -71,3 +71,14 @@ def test_pushdown_of_literal_hwm(spark, scratch):
     plan = upsert.newer_than(src, ts("2023-12-31 00:00:00"))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThan(load_time" in plan
     assert F is not None
+
+
+def test_rerun_of_the_same_source_changes_nothing(spark):
+    src = spark.createDataFrame([("a", "x", 1.0, ts("2024-01-01 10:00:00"), ts("2024-01-01 00:00:00")),
+                                 ("a", "y", 2.0, ts("2024-01-02 10:00:00"), ts("2024-01-02 00:00:00")),
+                                 ("b", "z", 3.0, ts("2024-01-02 11:00:00"), ts("2024-01-02 00:00:00"))], FEED)
+    order = dedup.desc_first("last_updated")
+    first = upsert.latest_upsert(src, None, "id", order)
+    first = spark.createDataFrame(first.collect(), first.schema)
+    again = upsert.latest_upsert(src, first, "id", order)
+    assert rows(again) == rows(first)

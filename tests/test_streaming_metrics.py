@@ -58,6 +58,8 @@ def test_rollup_pipeline_runs_and_gauges(spark):
     assert pr["r1"].duration_seconds == 8.0
     g = {r.gauge: r.value for r in R.last_run_gauges(R.run_rollup(_runs(spark))).collect()}
     assert g == {"run_success": 0.0, "run_duration_seconds": 1.5, "tracked_rows_affected": 3.0}
+    g2 = {r.gauge: r.value for r in R.last_run_gauges(R.run_rollup(_runs(spark)), new_records=4).collect()}
+    assert g2["new_records_total"] == 4.0
 
 
 def test_alert_for_duration_and_staleness(spark):
