@@ -30,6 +30,29 @@ LOCAL_DEFAULTS = {
 }
 
 
+# Settings the plans assume on a large cluster (about 100 TB of input,
+# 1000 executors). The library never applies them itself: the cluster's
+# operator does, with values sized for its hardware.
+SCALE_RECOMMENDED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # large initial shuffle width, merged back by AQE to ~256 MB partitions
+    "spark.sql.shuffle.partitions": "65536",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    # broadcast only what AQE measures below this size
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # bounded hot-key handling of the ordered windows (strata.operators.sequence)
+    "spark.strata.sequence.hotRows": "4000000",
+    "spark.strata.sequence.segmentRows": "1000000",
+    # streaming state (open candle windows) off the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "strata", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
