@@ -75,3 +75,28 @@ def test_null_times_of_hot_key_sort_first(spark):
     hot = sequence.hot_keys(df, ["k"], "t", hot_rows=50, segment_rows=11)
     split = sequence.over_sequence(df, "k", ["t", "seq"], _compute, rows_before=7, rows_after=1, hot=hot)
     assert _as_set(split) == _as_set(plain)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(seed=st.integers(0, 10_000), before=st.integers(0, 12), after=st.integers(0, 3),
+       seg=st.integers(1, 40), sparse=st.booleans())
+def test_random_series_and_reaches(spark, seed, before, after, seg, sparse):
+    df = _series(spark, n_hot=250, seed=seed, sparse=sparse)
+
+    def compute(d, part):
+        w = Window.partitionBy(*part).orderBy("t", "seq")
+        out = d
+        if before:
+            out = out.withColumn("s", F.sum("seq").over(w.rowsBetween(-before, 0)))
+        if after:
+            out = out.withColumn("n", F.lead("seq", after).over(w))
+        return out.withColumn("p", F.lag("seq", max(before, 1) if before else 0).over(w)) if before else out
+
+    plain = sequence.over_sequence(df, "k", ["t", "seq"], compute, rows_before=before, rows_after=after, hot=None)
+    hot = sequence.hot_keys(df, ["k"], "t", hot_rows=20, segment_rows=seg)
+    split = sequence.over_sequence(df, "k", ["t", "seq"], compute, rows_before=before, rows_after=after, hot=hot)
+    assert _as_set(split) == _as_set(plain)
