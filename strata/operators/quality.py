@@ -94,18 +94,25 @@ def row_count_eq(n: int, severity: str = "error") -> Check:
     return Check("row_count_eq", None, n, severity, F.count(F.lit(1)), "eq")
 
 
-def freshness(col: str, as_of: dt.datetime, max_hours: int = FRESHNESS_MAX_HOURS,
+def _clock(as_of: dt.datetime | None) -> Column:
+    """``as_of`` (UTC wall time), or the query's start time read in UTC (H5)."""
+    if as_of is None:
+        return F.current_timestamp().cast("timestamp_ntz")  # session zone is UTC
+    return F.lit(as_of).cast("timestamp_ntz")
+
+
+def freshness(col: str, as_of: dt.datetime | None = None, max_hours: int = FRESHNESS_MAX_HOURS,
               severity: str = "error") -> Check:
     """Hour boundaries from the newest ``col`` to ``as_of`` at most ``max_hours``.
 
-    An empty table (max is NULL) fails. ``as_of`` is UTC, like the data.
+    An empty table (max is NULL) fails. ``as_of`` is UTC, like the data;
+    None means now.
     """
     newest = F.max(F.col(col).cast("timestamp_ntz"))
-    return Check("freshness", col, max_hours, severity,
-                 hour_boundaries(newest, F.lit(as_of).cast("timestamp_ntz")), "le")
+    return Check("freshness", col, max_hours, severity, hour_boundaries(newest, _clock(as_of)), "le")
 
 
-def freshness_levels(col: str, as_of: dt.datetime, warn_hours: float = SOURCE_WARN_HOURS,
+def freshness_levels(col: str, as_of: dt.datetime | None = None, warn_hours: float = SOURCE_WARN_HOURS,
                      error_hours: float = SOURCE_ERROR_HOURS) -> Check:
     """Source freshness with two levels (J10): observed is the age in hours.
 
@@ -113,7 +120,7 @@ def freshness_levels(col: str, as_of: dt.datetime, warn_hours: float = SOURCE_WA
     error fails.
     """
     newest = F.max(F.col(col).cast("timestamp_ntz"))
-    age = seconds_between(newest, F.lit(as_of).cast("timestamp_ntz")) / F.lit(3600.0)
+    age = seconds_between(newest, _clock(as_of)) / F.lit(3600.0)
     return Check("freshness_levels", col, error_hours, "levels", age, "le",
                  set_metric=(warn_hours, error_hours))
 

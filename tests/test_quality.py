@@ -62,3 +62,10 @@ def test_gate_raises_when_blocking(spark):
     assert len(Q.gate(res, blocking=False)) == 1
     with pytest.raises(Q.QualityGateError):
         Q.gate(res)
+
+
+def test_freshness_defaults_to_now(spark):
+    import datetime as dt
+    recent = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(minutes=5)
+    df = spark.createDataFrame([(recent,)], "t timestamp_ntz")
+    assert Q.run_checks(df, [Q.freshness("t")], "x").first().passed
