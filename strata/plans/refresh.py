@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import dedup, indicators, quality as Q, ranking, scd2, upsert
+from strata.operators import dedup, indicators, quality as Q, ranking, runmetrics, scd2, upsert
 from strata.sources import snapshots, tables
 from strata.sources.versioned import VersionedHistory, VersionedTable
 
@@ -39,7 +39,9 @@ class LoadReport:
     late_rows: int = 0
     scd2: dict = field(default_factory=dict)
     checks_failed: list = field(default_factory=list)
+    history_checks_failed: list = field(default_factory=list)
     model_runs: list = field(default_factory=list)
+    gauges: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -70,10 +72,10 @@ class Refresh:
                 .where(F.col("partition_date") == part))
 
     def gate(self, raw: DataFrame, load_time: dt.datetime, report: LoadReport) -> DataFrame:
-        """The blocking ingest suite: one fused scan of the raw load."""
+        """The blocking ingest checks (validation suite and governance), one fused scan."""
         checks = [Q.not_null("id"), Q.not_null("name"), Q.not_null("current_price"),
                   Q.between("current_price", 0, strict_min=True),
-                  Q.row_count_min(Q.MIN_ROWS_BEFORE_MODELS),
+                  Q.row_count_min(Q.MIN_ROWS_BEFORE_MODELS), Q.row_count_min(Q.MIN_ROWS_AFTER_LOAD),
                   Q.freshness("load_time", load_time + dt.timedelta(minutes=1), self.freshness_hours)]
         results = Q.run_checks(raw, checks, "crypto_market_raw")
         report.checks_failed = Q.gate(results, blocking=True)
@@ -107,6 +109,25 @@ class Refresh:
         batch = incremental.where(F.col("load_time") == F.lit(load_time).cast("timestamp_ntz"))
         return self.history.apply_load(batch.select(*SCD2_COLUMNS), load_time)
 
+    def history_checks(self, report: LoadReport) -> DataFrame:
+        """Non-blocking integrity of the history: one current row per id,
+        not-null keys, unique (id, valid_from)."""
+        h = self.history.read()
+        results = Q.suite([
+            (scd2.one_current_violations(h, "id"), [Q.row_count_eq(0)], "scd2_current_violations"),
+            (h, [Q.not_null("id"), Q.not_null(scd2.VALID_FROM), Q.unique_compound(["id", scd2.VALID_FROM])],
+             "scd2"),
+        ])
+        report.history_checks_failed = Q.gate(results, blocking=False)
+        return results
+
+    def gauges(self, run_id: str) -> dict:
+        """Last-run gauges of this run, with the number of new versions."""
+        log = tables.read_table(self.spark, self.path("monitoring", "model_runs")).where(F.col("run_id") == run_id)
+        new = self.new_versions().count()
+        rows = runmetrics.last_run_gauges(runmetrics.run_rollup(log, "scd2"), new_records=new).collect()
+        return {r.gauge: r.value for r in rows}
+
     # -- views (lazy) --------------------------------------------------------------
     def signals(self) -> DataFrame:
         h = self.history.read()
@@ -140,8 +161,11 @@ class Refresh:
         step("quality_gate", lambda: self.gate(raw, load_time, report))
         inc = step("incremental_raw", lambda: self.bronze(raw, load_time, report))
         step("silver_crypto", lambda: self.silver(raw, inc), lambda n: n)
-        report.scd2 = step("scd2", lambda: self.gold_history(inc, load_time), lambda r: r.get("current"))
+        report.scd2 = step("scd2", lambda: self.gold_history(inc, load_time),
+                           lambda r: None if r.get("late") else r.get("closed", 0) + r.get("current", 0))
+        step("scd2_integrity", lambda: self.history_checks(report))
         report.model_runs = self._log(run_id, steps, load_time)
+        report.gauges = self.gauges(run_id)
         return report
 
     def _log(self, run_id: str, steps, load_time: dt.datetime) -> list:

@@ -22,6 +22,8 @@ def test_three_loads(spark, scratch):
     reports = [r.run(f"{landing}/snapshot_day={d}", dt.datetime.fromisoformat(d) + dt.timedelta(hours=23, minutes=59))
                for d in DAYS]
     assert all(rep.rows_loaded > 0 and not rep.checks_failed for rep in reports)
+    assert all(not rep.history_checks_failed for rep in reports)
+    assert reports[-1].gauges["run_success"] == 1.0 and reports[-1].gauges["new_records_total"] > 0
     # history equals the one-pass build over each load's newest row per id
     order = dedup.desc_first("last_updated") + [F.col("total_volume").desc_nulls_last()]
     frames = []
@@ -41,4 +43,4 @@ def test_three_loads(spark, scratch):
     assert r.mkt_cap().count() == 20
     assert r.new_versions().count() > 0
     log_rows = tables.read_table(spark, r.path("monitoring", "model_runs"))
-    assert log_rows.where("status = 'success'").count() == 5 * 4
+    assert log_rows.where("status = 'success'").count() == 6 * 4
