@@ -23,6 +23,7 @@ from strata.session import scratch_path
 from strata.sources import snapshots
 from strata.sources.versioned import VersionedHistory
 from strata.streaming import candles as stream_candles_mod
+from strata.streaming import signals as stream_signals
 from strata.streaming import snapshots as stream_snapshots
 
 INGEST_LOAD = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -156,3 +157,48 @@ def stream_scd2(spark, sf_dir):
     order = dedup.desc_first("last_updated") + [F.col("total_volume").desc()]
     stream_snapshots.run_snapshot_stream(spark, feed, store, ["id"], order, f"{root}/_checkpoint")
     return store.read()
+
+
+def _stream_signals_sql() -> str:
+    frame = "OVER (PARTITION BY id ORDER BY candle_time ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
+
+    def ma(n: int) -> str:
+        f = frame.format(n=n - 1)
+        return f"CAST(sum(CAST(close AS DECIMAL(18,6))) {f} AS DOUBLE) / count(close) {f} AS ma_{n}"
+    return f"""
+WITH c AS (
+    SELECT user_id AS id, date_trunc('hour', ts) AS candle_time,
+        date_trunc('hour', ts) + INTERVAL 1 HOUR AS candle_end,
+        arg_max(value, (ts, event_id)) AS close
+    FROM events GROUP BY ALL
+),
+closed AS (SELECT * FROM c WHERE candle_end <= (SELECT max(ts) - INTERVAL {WATERMARK} FROM events)),
+ind AS (SELECT id, candle_time, close, {ma(10)}, {ma(50)} FROM closed),
+base AS (
+    SELECT *, lag(ma_10) OVER (PARTITION BY id ORDER BY candle_time) AS p10,
+              lag(ma_50) OVER (PARTITION BY id ORDER BY candle_time) AS p50
+    FROM ind
+)
+SELECT id, candle_time, close, ma_10, ma_50,
+    CASE WHEN p10 < p50 AND ma_10 > ma_50 THEN 'BUY'
+         WHEN p10 > p50 AND ma_10 < ma_50 THEN 'SELL'
+         ELSE 'HOLD' END AS signal
+FROM base
+"""
+
+
+@query("stream_signals", _stream_signals_sql())
+def stream_signals_query(spark, sf_dir):
+    """§2.12: averages and crossover on closed streamed candles, per micro-batch."""
+    schema = table(spark, sf_dir, "events").schema
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+           .select(F.col("user_id").alias("id"), F.col("ts").alias("valid_from"),
+                   F.col("value").alias("current_price"), "event_id"))
+    closed = stream_candles_mod.stream_candles(src, "id", "valid_from", "current_price", ["event_id"],
+                                               watermark=WATERMARK)
+    root = _scratch(spark, "stream_signals")
+    out = stream_signals.run_signal_stream(spark, closed, root, f"{root}/_checkpoint")
+    if out is None:  # no candle closed yet
+        return spark.createDataFrame([], "id long, candle_time timestamp_ntz, close double, "
+                                         "ma_10 double, ma_50 double, signal string")
+    return out.select("id", "candle_time", "close", "ma_10", "ma_50", "signal")

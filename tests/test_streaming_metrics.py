@@ -84,3 +84,37 @@ def test_usage_views(spark):
     assert h[ts("2024-01-01 10:00:00")] == 3.0
     recent = R.usage_recent(u, ts("2024-01-02 00:00:00"))
     assert recent.count() == 2 and {r.cost for r in recent.collect()} == {3.0, 6.0}
+
+
+def test_streamed_signals_equal_batch_signals(spark, scratch):
+    from pyspark.sql import Window as W
+
+    from strata.functions.exprs import exact_avg
+    from strata.streaming import signals as stream_signals
+    src_path = os.path.join(scratch, "ticks")
+    import random
+    rnd = random.Random(3)
+    for day in range(4):   # four landed files -> several micro-batches
+        data = [(k, dt.datetime(2024, 1, 1 + day, h, rnd.randint(0, 59)), float(rnd.randint(1, 50)))
+                for k in (1, 2) for h in range(0, 24, 2)]
+        spark.createDataFrame(data, "id long, valid_from timestamp_ntz, current_price double") \
+            .coalesce(1).write.mode("append").parquet(src_path)
+    schema = spark.read.parquet(src_path).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src_path)
+    sig = stream_signals.run_signal_stream(spark, candles.stream_candles(stream), f"{scratch}/sig",
+                                           f"{scratch}/ck", spans=(3, 5))
+    closed = spark.read.parquet(f"{scratch}/sig/candles").drop("epoch")
+    w = W.partitionBy("id").orderBy("candle_time")
+    exp = (closed.withColumn("ma_3", exact_avg("close", w.rowsBetween(-2, 0)))
+           .withColumn("ma_5", exact_avg("close", w.rowsBetween(-4, 0))))
+    exp = exp.withColumn("signal", indicators_crossover(exp, w))
+    cols = ["id", "candle_time", "close", "ma_3", "ma_5", "signal"]
+    assert sig.count() == closed.count() > 0
+    assert rows(sig.select(*cols)) == rows(exp.select(*cols))
+    batches = spark.read.parquet(f"{scratch}/sig/candles").select("epoch").distinct().count()
+    assert batches > 1
+
+
+def indicators_crossover(df, w):
+    from strata.operators.indicators import crossover
+    return crossover(F.col("ma_3"), F.col("ma_5"), F.lag("ma_3").over(w), F.lag("ma_5").over(w))
