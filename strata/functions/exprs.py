@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 # Scale and precision of the exact window sums used by ``exact_avg``. Six
@@ -77,3 +77,15 @@ def exact_avg(c, w: WindowSpec, scale: int | None = DEFAULT_SUM_SCALE,
 
 def prefixed(prefix: str, cols: Iterable[str]) -> list[Column]:
     return [F.col(c).alias(prefix + c) for c in cols]
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``cols`` where NULL matches NULL, keeping one copy of ``cols``.
+
+    Grouping and window partitioning treat NULL as a key value; joins that
+    bring per-key facts back must do the same.
+    """
+    cols = list(cols)
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
+    on = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in cols]
+    return left.join(r, on=on, how=how).drop(*[f"_r_{c}" for c in cols])

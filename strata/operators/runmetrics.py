@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.timefns import hour_of, seconds_between
+from strata.functions.exprs import join_null_safe
 from strata.operators.sequence import over_sequence
 
 # Statuses the reference counts as success.
@@ -114,7 +115,7 @@ def alert_firings(history: DataFrame, rules: Sequence[Rule], metric: str = "metr
         return out
 
     flagged = over_sequence(mine, [metric], [ts], compute, range_before=longest, time_col=ts, hot=hot)
-    flagged = flagged.join(first_seen, metric)
+    flagged = join_null_safe(flagged, first_seen, [metric])
     # One pass: each sample carries the names of the rules firing at it.
     firing = [F.when(F.col(f"_r{i}") & (seconds_between("_first", ts) >= F.lit(r.for_seconds)),
                      F.lit(r.alert)) for i, r in enumerate(rules)]

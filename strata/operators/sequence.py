@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.exprs import names
+from strata.functions.exprs import join_null_safe, names
 
 SEG = "_seg"
 OVL = "_ovl"
@@ -125,9 +125,12 @@ def with_segments(df: DataFrame, keys: Sequence[str], time_col: str, hot: HotKey
     keys = names(keys)
     if hot is None:
         return df.withColumn(SEG, F.lit(None).cast("long"))
-    side = F.broadcast(hot.frame) if hot.small else hot.frame
+    side = hot.frame.select(*[F.col(k).alias(f"_hk_{k}") for k in keys], "_min", "_width")
+    side = F.broadcast(side) if hot.small else side
     t = time_value(df, time_col)
-    joined = df.join(side, on=keys, how="left")
+    # Null-safe: a NULL key can be the hot one too.
+    on = [df[k].eqNullSafe(side[f"_hk_{k}"]) for k in keys]
+    joined = df.join(side, on=on, how="left").drop(*[f"_hk_{k}" for k in keys])
     seg = (F.when(F.col("_width").isNull(), F.lit(None))
            .when(t.isNull(), F.lit(-1))
            .otherwise(F.floor((t - F.col("_min")) / F.col("_width"))))
@@ -164,7 +167,7 @@ def _overlap(seg_df: DataFrame, keys: list[str], order: list[Column],
         s = summary.select(*keys, SEG, (F.col("_off") + F.col("_cnt")).alias("_end"), nxt.alias("_to"))
         tails = (seg_df.withColumn("_j", F.row_number().over(in_seg.orderBy(*[o.desc() for o in order])))
                  .where(F.col("_j") <= rows_before))
-        t = (tails.join(s, on=[*keys, SEG])
+        t = (join_null_safe(tails, s, [*keys, SEG])
              .withColumn("_tgt", F.explode("_to"))
              # rows strictly between this segment and the target
              .where(F.col("_tgt.o") - F.col("_end") <= F.lit(rows_before) - F.col("_j"))
@@ -178,7 +181,7 @@ def _overlap(seg_df: DataFrame, keys: list[str], order: list[Column],
         s = summary.select(*keys, SEG, F.col("_off"), prv.alias("_to"))
         heads = (seg_df.withColumn("_j", F.row_number().over(in_seg.orderBy(*order)))
                  .where(F.col("_j") <= rows_after))
-        h = (heads.join(s, on=[*keys, SEG])
+        h = (join_null_safe(heads, s, [*keys, SEG])
              .withColumn("_tgt", F.explode("_to"))
              .where(F.col("_off") - F.col("_tgt.e") <= F.lit(rows_after) - F.col("_j"))
              .withColumn(SEG, F.col("_tgt.b"))

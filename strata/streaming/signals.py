@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.functions.exprs import DEFAULT_SUM_SCALE, names
+from strata.functions.exprs import DEFAULT_SUM_SCALE, join_null_safe, names
 from strata.operators import indicators
 from strata.operators.sequence import over_sequence
 
@@ -40,7 +40,7 @@ def incremental_signals(new: DataFrame, stored: DataFrame | None, key: str | Seq
     rows = new.select(*cols).withColumn(NEW, F.lit(True))
     if stored is not None:
         first = new.groupBy(*keys).agg(F.min(order).alias("_first"))
-        before = stored.select(*cols).join(first, on=keys).where(F.col(order) < F.col("_first"))
+        before = join_null_safe(stored.select(*cols), first, keys).where(F.col(order) < F.col("_first"))
         w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
         tail = (before.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= reach)
                 .select(*cols).withColumn(NEW, F.lit(False)))

@@ -100,3 +100,13 @@ def test_random_series_and_reaches(spark, seed, before, after, seg, sparse):
     hot = sequence.hot_keys(df, ["k"], "t", hot_rows=20, segment_rows=seg)
     split = sequence.over_sequence(df, "k", ["t", "seq"], compute, rows_before=before, rows_after=after, hot=hot)
     assert _as_set(split) == _as_set(plain)
+
+
+def test_null_key_can_be_hot(spark):
+    df = _series(spark, n_hot=200).withColumn("k", F.when(F.col("k") == "hot", F.lit(None)).otherwise(F.col("k")))
+    plain = sequence.over_sequence(df, "k", ["t", "seq"], _compute, rows_before=7, rows_after=1, hot=None)
+    hot = sequence.hot_keys(df, ["k"], "t", hot_rows=50, segment_rows=9)
+    seg = sequence.with_segments(df, ["k"], "t", hot)
+    assert seg.where(F.col("k").isNull() & F.col("_seg").isNotNull()).count() == 200
+    split = sequence.over_sequence(df, "k", ["t", "seq"], _compute, rows_before=7, rows_after=1, hot=hot)
+    assert _as_set(split) == _as_set(plain)
