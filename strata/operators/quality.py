@@ -193,6 +193,23 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
     return out
 
 
+def run_checks_by(df: DataFrame, checks: Sequence[Check], table: str, by: str) -> DataFrame:
+    """Scalar checks per group of ``by`` (e.g. per load of a backfill) in one aggregate.
+
+    Each result row's ``table_name`` is ``<table>@<group>``. Set checks are
+    per-table only.
+    """
+    if any(c.metric is None for c in checks):
+        raise ValueError("run_checks_by takes scalar checks only")
+    g = df.groupBy(by).agg(*[c.metric.alias(f"_m{i}") for i, c in enumerate(checks)])
+    rows = []
+    for i, c in enumerate(checks):
+        r = _row(c, table, F.col(f"_m{i}"))
+        r[1] = F.concat(F.lit(f"{table}@"), F.col(by).cast("string")).alias("table_name")
+        rows.append(F.struct(*r))
+    return g.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def violations_check(violations: DataFrame, table: str, name: str = "violations",
                      expected: int = 0, severity: str = "error") -> DataFrame:
     """Row count of a violations query must equal ``expected``."""

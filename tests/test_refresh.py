@@ -44,3 +44,20 @@ def test_three_loads(spark, scratch):
     assert r.new_versions().count() > 0
     log_rows = tables.read_table(spark, r.path("monitoring", "model_runs"))
     assert log_rows.where("status = 'success'").count() == 6 * 4
+
+
+def test_backfill_equals_sequential_loads(spark, scratch):
+    landing = write_snapshots(spark, SF, f"{scratch}/landing")
+    days = ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
+    seq = Refresh(spark, f"{scratch}/seq")
+    for d in days:
+        seq.run(f"{landing}/snapshot_day={d}", dt.datetime.fromisoformat(d) + dt.timedelta(hours=23, minutes=59))
+    # the landing folder holds all 30 days; back-fill only the first four
+    sub = f"{scratch}/landing4"
+    spark.read.json(landing).where(F.col("snapshot_day").isin(*days)).write.partitionBy("snapshot_day").json(sub)
+    bf = Refresh(spark, f"{scratch}/bf")
+    rep = bf.backfill(sub)
+    assert not rep.checks_failed and not rep.history_checks_failed
+    assert rows(bf.history.read()) == rows(seq.history.read())
+    inc_cols = [*snapshots.EXPECTED_COLUMNS, "load_time"]
+    assert rows(bf.incremental.read().select(*inc_cols)) == rows(seq.incremental.read().select(*inc_cols))
