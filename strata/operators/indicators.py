@@ -35,9 +35,9 @@ def add_moving_averages(df: DataFrame, part: Sequence[str], order: Sequence[str]
                         value: str = "close", spans: Sequence[int] = DEFAULT_SPANS,
                         scale: int | None = DEFAULT_SUM_SCALE) -> DataFrame:
     w = Window.partitionBy(*part).orderBy(*order)
-    for n in spans:
-        df = df.withColumn(ma_name(n), exact_avg(value, w.rowsBetween(-(n - 1), 0), scale))
-    return df
+    # one select: all frames of one window spec are evaluated by one operator
+    return df.select("*", *[exact_avg(value, w.rowsBetween(-(n - 1), 0), scale).alias(ma_name(n))
+                            for n in spans])
 
 
 def crossover(fast: Column, slow: Column, prev_fast: Column, prev_slow: Column) -> Column:
@@ -49,8 +49,8 @@ def crossover(fast: Column, slow: Column, prev_fast: Column, prev_slow: Column)
 def add_signal(df: DataFrame, part: Sequence[str], order: Sequence[str],
                fast: str, slow: str) -> DataFrame:
     w = Window.partitionBy(*part).orderBy(*order)
-    return df.withColumn(
-        "signal", crossover(F.col(fast), F.col(slow), F.lag(fast).over(w), F.lag(slow).over(w)))
+    return df.select("*", crossover(F.col(fast), F.col(slow), F.lag(fast).over(w),
+                                    F.lag(slow).over(w)).alias("signal"))
 
 
 def moving_averages(candles: DataFrame, key: str | Sequence[str] = "id",

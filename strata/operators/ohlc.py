@@ -42,10 +42,8 @@ def add_ohlc(df: DataFrame, part: Sequence[str], ts: str, price: str,
     w = (Window.partitionBy(*part, "candle_time").orderBy(ts, *tiebreak)
          .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     p = F.col(price)
-    return (df.withColumn("open", F.first(p).over(w))
-            .withColumn("high", F.max(p).over(w))
-            .withColumn("low", F.min(p).over(w))
-            .withColumn("close", F.last(p).over(w)))
+    return df.select("*", F.first(p).over(w).alias("open"), F.max(p).over(w).alias("high"),
+                     F.min(p).over(w).alias("low"), F.last(p).over(w).alias("close"))
 
 
 def candle_rows(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "valid_from",

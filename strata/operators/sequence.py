@@ -42,6 +42,9 @@ from strata.functions.exprs import join_null_safe, names
 SEG = "_seg"
 OVL = "_ovl"
 _T = "_t"
+# Segment of a hot key's rows with a NULL time: below every real bucket, as
+# NULLs sort first in the ascending order inside a key.
+NULL_TIME_SEG = -(1 << 62)
 
 # Defaults; override per call or with the session settings
 # ``spark.strata.sequence.hotRows`` / ``.segmentRows`` / ``.maxHotKeys``.
@@ -132,7 +135,7 @@ def with_segments(df: DataFrame, keys: Sequence[str], time_col: str, hot: HotKey
     on = [df[k].eqNullSafe(side[f"_hk_{k}"]) for k in keys]
     joined = df.join(side, on=on, how="left").drop(*[f"_hk_{k}" for k in keys])
     seg = (F.when(F.col("_width").isNull(), F.lit(None))
-           .when(t.isNull(), F.lit(-1))
+           .when(t.isNull(), F.lit(NULL_TIME_SEG))
            .otherwise(F.floor((t - F.col("_min")) / F.col("_width"))))
     return joined.withColumn(SEG, seg.cast("long"))
 
@@ -146,7 +149,7 @@ def _range_overlap(seg_df: DataFrame, t: Column, span: float) -> DataFrame:
     last = F.floor((t + F.lit(span) - F.col("_min")) / F.col("_width")).cast("long")
     first = F.col(SEG) + F.lit(1)
     targets = F.when(last >= first, F.sequence(first, last))
-    return (seg_df.where(F.col(SEG) >= 0)
+    return (seg_df.where(F.col(SEG) != F.lit(NULL_TIME_SEG))
             .withColumn("_tgt", F.explode(targets))
             .withColumn(SEG, F.col("_tgt")).drop("_tgt"))
 
