@@ -118,8 +118,12 @@ def scd2_build(spark, sf_dir):
 
 
 def _history_and_batch(spark, sf_dir):
+    """History before the cut (materialised, as a stored gold table would be) and the next load."""
     cut = F.col("ts") < F.lit(SCD2_HISTORY_BEFORE).cast("timestamp_ntz")
-    hist = scd2.build(_changelog(spark, sf_dir, cut), "id", "name", _HIST_COLS, tiebreak=["event_id"])
+    # Reliable checkpoint into the session's shared checkpoint folder: the
+    # history is read by three branches of the merge, and lineage is cut.
+    hist = scd2.build(_changelog(spark, sf_dir, cut), "id", "name", _HIST_COLS,
+                      tiebreak=["event_id"]).checkpoint(eager=True)
     later = _changelog(spark, sf_dir, ~cut)
     batch = (dedup.latest(later, "id", dedup.desc_first("load_time") + [F.col("event_id").desc()])
              .select(*_HIST_COLS, F.lit(SCD2_BATCH_LOAD).cast("timestamp_ntz").alias("load_time")))
@@ -171,7 +175,7 @@ WHERE valid_from = (SELECT max(valid_from) FROM h) AND is_current
 def scd2_new_versions(spark, sf_dir):
     """Current rows opened by the newest load."""
     hist, batch = _history_and_batch(spark, sf_dir)
-    h = scd2.apply_batch(hist, batch, "id", "name", _HIST_COLS)
+    h = scd2.apply_batch(hist, batch, "id", "name", _HIST_COLS).checkpoint(eager=True)
     return scd2.new_in_last_load(h, ["id", "name", "valid_from"])
 
 
