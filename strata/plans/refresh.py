@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators import dedup, indicators, quality as Q, ranking, runmetrics, scd2, upsert
+from strata.operators import dedup, indicators, ohlc, quality as Q, ranking, runmetrics, scd2, upsert
 from strata.sources import snapshots, tables
 from strata.sources.versioned import VersionedHistory, VersionedTable
 
@@ -129,7 +129,26 @@ class Refresh:
         rows = runmetrics.last_run_gauges(runmetrics.run_rollup(log, "scd2"), new_records=new).collect()
         return {r.gauge: r.value for r in rows}
 
-    # -- views (lazy) --------------------------------------------------------------
+    # -- models as DataFrames (tables read back, views lazy) ---------------------------
+    def raw_data(self) -> DataFrame:
+        return tables.read_table(self.spark, self.path("raw", "crypto_market_raw"))
+
+    def incremental_raw(self) -> DataFrame | None:
+        return self.incremental.read()
+
+    def silver_crypto(self) -> DataFrame:
+        return tables.read_table(self.spark, self.path("silver", "silver_crypto"))
+
+    def scd2(self) -> DataFrame | None:
+        return self.history.read()
+
+    def candles(self) -> DataFrame:
+        return ohlc.candle_rows(self.history.read(), "id", "valid_from", "current_price")
+
+    def indicators(self) -> DataFrame:
+        return indicators.signal_chain(self.history.read(), "id", "valid_from", "current_price",
+                                       with_signal=False)
+
     def signals(self) -> DataFrame:
         h = self.history.read()
         return indicators.signal_chain(h, "id", "valid_from", "current_price")

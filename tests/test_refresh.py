@@ -40,6 +40,9 @@ def test_three_loads(spark, scratch):
     assert rows(r.history.read()) == rows(expected.select(*r.history.read().columns))
     # gold views and run log
     assert r.signals().count() == r.history.read().count()
+    n = r.history.read().count()
+    assert r.candles().count() == n and r.indicators().count() == n and r.scd2().count() == n
+    assert r.raw_data().count() > 0 and r.silver_crypto().count() > 0 and r.incremental_raw().count() > 0
     assert r.mkt_cap().count() == 20
     assert r.new_versions().count() > 0
     log_rows = tables.read_table(spark, r.path("monitoring", "model_runs"))
