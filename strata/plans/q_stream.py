@@ -21,7 +21,7 @@ from strata.plans.bindings import table
 from strata.plans.catalog import query
 from strata.session import scratch_path
 from strata.sources import snapshots
-from strata.sources.versioned import VersionedHistory
+from strata.sources.versioned import VersionedHistory, VersionedTable
 from strata.streaming import candles as stream_candles_mod
 from strata.streaming import signals as stream_signals
 from strata.streaming import snapshots as stream_snapshots
@@ -202,3 +202,34 @@ def stream_signals_query(spark, sf_dir):
         return spark.createDataFrame([], "id long, candle_time timestamp_ntz, close double, "
                                          "ma_10 double, ma_50 double, signal string")
     return out.select("id", "candle_time", "close", "ma_10", "ma_50", "signal")
+
+
+def _snapshot_rows_sql() -> str:
+    return """
+    SELECT CAST(user_id AS VARCHAR) AS id, event_type AS symbol, event_type AS name, value AS current_price,
+           CAST(user_id AS DOUBLE) AS market_cap_rank, CAST(event_id AS DOUBLE) AS total_volume,
+           CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS last_updated,
+           date_trunc('day', ts) AS load_time
+    FROM events"""
+
+
+@query("stream_latest", f"""
+SELECT id, symbol, name, current_price, market_cap_rank, total_volume, last_updated, load_time FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY load_time DESC NULLS FIRST,
+                                 last_updated DESC NULLS FIRST, total_volume DESC) AS rn
+    FROM ({_snapshot_rows_sql()}) s
+) WHERE rn = 1
+""")
+def stream_latest(spark, sf_dir):
+    """L1 (I2 part): daily snapshot files -> foreachBatch -> versioned newest-row table."""
+    root = _scratch(spark, "stream_latest")
+    path = write_snapshots(spark, sf_dir, f"{root}/landing")
+    src = spark.readStream.schema(_SNAP_STREAM_SCHEMA).json(path)
+    day = F.to_timestamp(F.col("snapshot_day"), "yyyy-MM-dd").cast("timestamp_ntz")
+    feed = snapshots.normalise(src, keep=["snapshot_day"]).withColumn("load_time", day).drop("snapshot_day")
+    newest = VersionedTable(spark, f"{root}/incremental_raw")
+    order = dedup.desc_first("last_updated") + [F.col("total_volume").desc()]
+    stream_snapshots.run_snapshot_stream(spark, feed, None, ["id"], order, f"{root}/_checkpoint",
+                                         newest_table=newest)
+    return newest.read().select("id", "symbol", "name", "current_price", "market_cap_rank", "total_volume",
+                                "last_updated", "load_time")

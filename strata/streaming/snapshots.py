@@ -15,30 +15,48 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from strata.operators.dedup import latest
-from strata.sources.versioned import VersionedHistory
+from strata.operators.upsert import latest_upsert
+from strata.sources.versioned import VersionedHistory, VersionedTable
+
 
+def foreach_load(store: VersionedHistory | None, key: Sequence[str], order: Sequence[Column],
+                 load_col: str = "load_time", tiebreak: Sequence[str] = (),
+                 newest_table: VersionedTable | None = None,
+                 history_columns: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function applying each micro-batch.
 
-def foreach_load(store: VersionedHistory, key: Sequence[str], order: Sequence[Column],
-                 load_col: str = "load_time", tiebreak: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function applying each micro-batch to ``store``."""
+    ``newest_table`` receives the newest row per key (latest load first,
+    then ``order`` inside a load); ``store`` the SCD2 history.
+    """
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        # The batch function runs several jobs (bound, hot-key stats, write);
+        # The batch function runs several jobs (bound, hot-key stats, writes);
         # keep the deduplicated micro-batch instead of re-reading its files.
         # A lost cached block is recomputed from the micro-batch's lineage.
         newest = latest(batch, [*key, load_col], order).persist()
         try:
-            store.apply_loads(newest, load_col, tiebreak)
+            if newest_table is not None:
+                bound = newest.agg(F.max(load_col).alias("m")).first()["m"]
+                if bound is not None and not newest_table.is_late(bound):
+                    by_load = [F.col(load_col).desc_nulls_first(), *order]
+                    out = latest_upsert(newest, newest_table.read(), key, by_load, load_col)
+                    newest_table.write(out, bound)
+            if store is not None:
+                cols = history_columns or store.columns
+                store.apply_loads(newest.select(*cols, load_col, *tiebreak), load_col, tiebreak)
         finally:
             newest.unpersist()
     return apply
 
 
-def run_snapshot_stream(spark: SparkSession, source: DataFrame, store: VersionedHistory,
+def run_snapshot_stream(spark: SparkSession, source: DataFrame, store: VersionedHistory | None,
                         key: Sequence[str], order: Sequence[Column], checkpoint: str,
-                        load_col: str = "load_time", tiebreak: Sequence[str] = ()) -> None:
-    """Drain the snapshot stream into ``store`` (availableNow) and stop."""
-    q = (source.writeStream.foreachBatch(foreach_load(store, key, order, load_col, tiebreak))
+                        load_col: str = "load_time", tiebreak: Sequence[str] = (),
+                        newest_table: VersionedTable | None = None) -> None:
+    """Drain the snapshot stream into ``store``/``newest_table`` (availableNow) and stop."""
+    q = (source.writeStream.foreachBatch(foreach_load(store, key, order, load_col, tiebreak, newest_table))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover

@@ -9,7 +9,7 @@ from conftest import rows, ts
 from pyspark.sql import functions as F
 
 from strata.operators import dedup, ohlc, runmetrics as R, scd2
-from strata.sources.versioned import VersionedHistory
+from strata.sources.versioned import VersionedHistory, VersionedTable
 from strata.streaming import candles, snapshots as stream_snapshots
 
 
@@ -33,12 +33,16 @@ def test_snapshot_stream_micro_batches_equal_build(spark, scratch):
         spark.createDataFrame([(i, n, 1.0, ts(day), ts(day)) for i, n in data], schema) \
             .coalesce(1).write.mode("append").parquet(landing)
     store = VersionedHistory(spark, f"{scratch}/store", "id", "name", ["id", "name", "current_price"])
+    newest = VersionedTable(spark, f"{scratch}/newest")
     src = spark.readStream.schema(spark.read.parquet(landing).schema).option("maxFilesPerTrigger", 1).parquet(landing)
     stream_snapshots.run_snapshot_stream(spark, src, store, ["id"], dedup.desc_first("last_updated"),
-                                         f"{scratch}/ck")
+                                         f"{scratch}/ck", newest_table=newest)
     log = spark.read.parquet(landing)
     expected = scd2.build(log, "id", "name", ["id", "name", "current_price"])
     assert rows(store.read()) == rows(expected.select(*store.read().columns))
+    assert rows(newest.read(), "id", "name", "load_time") == [
+        ("a", "A", ts("2024-01-03")), ("b", "C", ts("2024-01-03"))]
+    assert newest.version() == "20240103000000000000"
 
 
 def _runs(spark):
