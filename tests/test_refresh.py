@@ -64,3 +64,13 @@ def test_backfill_equals_sequential_loads(spark, scratch):
     assert rows(bf.history.read()) == rows(seq.history.read())
     inc_cols = [*snapshots.EXPECTED_COLUMNS, "load_time"]
     assert rows(bf.incremental.read().select(*inc_cols)) == rows(seq.incremental.read().select(*inc_cols))
+
+
+def test_late_rows_are_counted(spark, scratch):
+    landing = write_snapshots(spark, SF, f"{scratch}/landing")
+    r = Refresh(spark, f"{scratch}/wh")
+    r.run(f"{landing}/snapshot_day=2024-01-02", dt.datetime(2024, 1, 2, 23, 59))
+    # an older day arriving after a newer one: every row is at or below the mark
+    rep = r.run(f"{landing}/snapshot_day=2024-01-01", dt.datetime(2024, 1, 1, 23, 59))
+    assert rep.late_rows == rep.rows_loaded > 0
+    assert rep.scd2.get("late") is True
