@@ -191,6 +191,9 @@ class Refresh:
         report.scd2 = step("scd2", lambda: self.gold_history(inc, load_time),
                            lambda r: None if r.get("late") else r.get("closed", 0) + r.get("current", 0))
         step("scd2_integrity", lambda: self.history_checks(report))
+        # Older full copies (current sets, newest-row tables) are dead weight.
+        self.history.vacuum(keep=2)
+        self.incremental.vacuum(keep=2)
         report.model_runs = self._log(run_id, steps, load_time)
         report.gauges = self.gauges(run_id)
         return report

@@ -71,6 +71,24 @@ class _Versioned:
     def _version_dir(self, v: str) -> str:
         return f"{self.root}/data/version=v{v}"
 
+    def _drop_old(self, keep: int, suffix: str) -> list[str]:
+        """Delete ``data/version=v<v>/<suffix>`` of all but the newest ``keep`` commits."""
+        if keep < 1:
+            raise ValueError("keep at least the committed version")
+        p = self._path("_commits")
+        fs = self._fs(p)
+        if not fs.exists(p):
+            return []
+        versions = sorted(st.getPath().getName() for st in fs.listStatus(p)
+                          if not st.getPath().getName().startswith("."))
+        removed = []
+        for v in versions[:-keep]:
+            target = self._path(f"data/version=v{v}{suffix}")
+            if fs.exists(target):
+                fs.delete(target, True)
+                removed.append(v)
+        return removed
+
 
 class VersionedTable(_Versioned):
     """A table replaced as a whole per load, readable while the next one is written.
@@ -85,6 +103,10 @@ class VersionedTable(_Versioned):
         v = self.version()
         return None if v is None else self.spark.read.parquet(self._version_dir(v))
 
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` versions (each is a full copy)."""
+        return self._drop_old(keep, "")
+
     def is_late(self, load_time: dt.datetime) -> bool:
         """True when ``load_time`` is at or below the committed version."""
         prev = self.version()
@@ -147,6 +169,17 @@ class VersionedHistory(_Versioned):
         m = obs.get
         return {"version": version, "closed": int(m.get("closed", 0)), "current": int(m.get("current", 0))}
 
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the current sets of all but the newest ``keep`` committed versions.
+
+        Each load writes a full copy of the open rows; only the committed
+        version's copy is ever read, so older copies are dead weight that
+        grows by one current set per load. Closed rows are never deleted.
+        ``keep >= 2`` leaves the previous version readable for readers that
+        resolved it just before the latest commit.
+        """
+        return self._drop_old(keep, "/kind=current")
+
     def bootstrap(self, history: DataFrame, load_time: dt.datetime) -> dict:
         """Store an initial history (e.g. from :func:`scd2.build`) as version ``load_time``."""
         if self.version() is not None:

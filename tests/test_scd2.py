@@ -116,3 +116,14 @@ def test_versioned_store_commit_rerun_and_late(spark, scratch):
     assert store.version() == "20240102000000000000"
     store.apply_load(_batch(spark, [("b", "Z", 3)], "2024-01-03").drop("load_time"), dt.datetime(2024, 1, 3))
     assert store.current().count() == 2
+
+
+def test_vacuum_keeps_history_readable(spark, scratch):
+    store = VersionedHistory(spark, f"{scratch}/scd2", "id", "name", COLS)
+    loads = _random_loads(5, n_loads=4)
+    for load, data in loads:
+        store.apply_load(_batch(spark, data, load).drop("load_time"), dt.datetime.fromisoformat(load))
+    before = rows(store.read())
+    removed = store.vacuum(keep=1)
+    assert len(removed) == 3
+    assert rows(store.read()) == before == rows(_loop(spark, loads))
