@@ -48,13 +48,22 @@ def add_ohlc(df: DataFrame, part: Sequence[str], ts: str, price: str,
 
 def candle_rows(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "valid_from",
                 price: str = "current_price", tiebreak: Sequence[str] = (),
-                unit: str = "hour", parse: bool = False) -> DataFrame:
+                unit: str = "hour", parse: bool = False, hot=True) -> DataFrame:
     """One row per observation with its bucket's OHLC.
 
-    Partitioned by (key, bucket): a hot key is spread over its hours.
+    Ordinary keys: window per (key, bucket), one exchange. When some key
+    is hot (``strata.operators.sequence.hot_keys``; ``hot=None`` skips the
+    check), the OHLC comes from a partial aggregate joined back instead
+    (:func:`candle_rows_by_join`), so no bucket of a hot key sits in one task.
     ``ts`` is kept so the later row-count windows have a total order.
     """
     keys = names(key)
+    if hot is True:
+        from strata.operators.sequence import hot_keys
+        # text times (parse=True) are only parsed inside the plan: no detection
+        hot = None if parse else hot_keys(df, keys, ts)
+    if hot:
+        return candle_rows_by_join(df, keys, ts, price, tiebreak, unit, parse)
     p = prices(df, keys, ts, price, unit, parse)
     out = add_ohlc(p.repartition(*keys, "candle_time"), keys, ts, price, tiebreak)
     return out.select(*keys, "candle_time", ts, *OHLC, *tiebreak)
