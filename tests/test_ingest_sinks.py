@@ -77,3 +77,14 @@ def test_strict_cast_raises_under_ansi(spark):
     bad = spark.createDataFrame([("bad",)], "s string")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         bad.select(strict_ts("s")).collect()
+
+
+def test_views_and_partition_counts(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10),), (dt.datetime(2024, 1, 3, 9),),
+                                (dt.datetime(2024, 1, 3, 11),)], "ts timestamp_ntz")
+    tables.as_view(df, "strata_test_view")
+    assert spark.sql("SELECT count(*) AS n FROM strata_test_view").first().n == 3
+    got = {r.partition_key: r.n_rows for r in tables.rows_per_partition(df, "ts", "day").collect()}
+    assert got == {"2024-01-01": 1, "2024-01-02": 0, "2024-01-03": 2}
+    hours = tables.partition_keys(spark, "2024-01-01 00:00:00", "2024-01-01 05:00:00", "hour").collect()
+    assert [h.partition_key for h in hours][:2] == ["2024-01-01-00:00", "2024-01-01-01:00"] and len(hours) == 6
