@@ -47,7 +47,8 @@ class Check:
     severity: str = "error"
     metric: Column | None = None
     ok: str = "eq"  # eq | le | ge
-    set_metric: object = field(default=None, compare=False)
+    set_metric: tuple | None = field(default=None, compare=False)  # (kind, columns) of set checks
+    levels: tuple[float, float] | None = None  # (warn, error) of two-level checks
 
     def passed(self, observed: Column) -> Column:
         th = F.lit(self.threshold).cast("double")
@@ -122,7 +123,7 @@ def freshness_levels(col: str, as_of: dt.datetime | None = None, warn_hours: flo
     newest = F.max(F.col(col).cast("timestamp_ntz"))
     age = seconds_between(newest, _clock(as_of)) / F.lit(3600.0)
     return Check("freshness_levels", col, error_hours, "levels", age, "le",
-                 set_metric=(warn_hours, error_hours))
+                 levels=(warn_hours, error_hours))
 
 
 # -- set checks ---------------------------------------------------------------
@@ -159,8 +160,8 @@ def _set_observed(df: DataFrame, check: Check) -> DataFrame:
 # -- running checks -------------------------------------------------------------
 
 def _row(check: Check, table: str, observed: Column) -> list[Column]:
-    if check.name == "freshness_levels":
-        warn, err = check.set_metric
+    if check.levels is not None:
+        warn, err = check.levels
         level = (F.when(observed.isNull() | (observed > F.lit(err)), F.lit("error"))
                  .when(observed > F.lit(warn), F.lit("warn")).otherwise(F.lit("pass")))
         return [F.lit(check.name).alias("check_name"), F.lit(table).alias("table_name"),

@@ -93,7 +93,7 @@ def _changelog(spark, sf_dir, where=None):
                     F.col("value").alias("current_price"), F.col("ts").alias("load_time"), "event_id")
 
 
-_HIST_COLS = ["id", "name", "current_price"]
+HIST_COLS = ["id", "name", "current_price"]
 
 
 def _build_sql(where: str = "TRUE") -> str:
@@ -114,23 +114,23 @@ def _build_sql(where: str = "TRUE") -> str:
 @query("scd2_build", _build_sql())
 def scd2_build(spark, sf_dir):
     """Whole change log -> versions (lag for changes, lead for valid_to)."""
-    return scd2.build(_changelog(spark, sf_dir), "id", "name", _HIST_COLS, tiebreak=["event_id"])
+    return scd2.build(_changelog(spark, sf_dir), "id", "name", HIST_COLS, tiebreak=["event_id"])
 
 
-def _history_and_batch(spark, sf_dir):
+def history_and_batch(spark, sf_dir):
     """History before the cut (materialised, as a stored gold table would be) and the next load."""
     cut = F.col("ts") < F.lit(SCD2_HISTORY_BEFORE).cast("timestamp_ntz")
     # Reliable checkpoint into the session's shared checkpoint folder: the
     # history is read by three branches of the merge, and lineage is cut.
-    hist = scd2.build(_changelog(spark, sf_dir, cut), "id", "name", _HIST_COLS,
+    hist = scd2.build(_changelog(spark, sf_dir, cut), "id", "name", HIST_COLS,
                       tiebreak=["event_id"]).checkpoint(eager=True)
     later = _changelog(spark, sf_dir, ~cut)
     batch = (dedup.latest(later, "id", dedup.desc_first("load_time") + [F.col("event_id").desc()])
-             .select(*_HIST_COLS, F.lit(SCD2_BATCH_LOAD).cast("timestamp_ntz").alias("load_time")))
+             .select(*HIST_COLS, F.lit(SCD2_BATCH_LOAD).cast("timestamp_ntz").alias("load_time")))
     return hist, batch
 
 
-_APPLY_SQL = f"""
+APPLY_SQL = f"""
 WITH hist AS ({_build_sql(f"ts < TIMESTAMP '{SCD2_HISTORY_BEFORE}'")}),
 batch AS (
     SELECT id, name, current_price, TIMESTAMP '{SCD2_BATCH_LOAD}' AS load_time FROM (
@@ -160,22 +160,22 @@ SELECT * FROM inserts
 """
 
 
-@query("scd2_apply", _APPLY_SQL)
+@query("scd2_apply", APPLY_SQL)
 def scd2_apply(spark, sf_dir):
     """I4: history up to day 15, then one load of each id's newest later row."""
-    hist, batch = _history_and_batch(spark, sf_dir)
-    return scd2.apply_batch(hist, batch, "id", "name", _HIST_COLS)
+    hist, batch = history_and_batch(spark, sf_dir)
+    return scd2.apply_batch(hist, batch, "id", "name", HIST_COLS)
 
 
 @query("scd2_new_versions", f"""
-WITH h AS ({_APPLY_SQL})
+WITH h AS ({APPLY_SQL})
 SELECT id, name, valid_from FROM h
 WHERE valid_from = (SELECT max(valid_from) FROM h) AND is_current
 """)
 def scd2_new_versions(spark, sf_dir):
     """Current rows opened by the newest load."""
-    hist, batch = _history_and_batch(spark, sf_dir)
-    h = scd2.apply_batch(hist, batch, "id", "name", _HIST_COLS).checkpoint(eager=True)
+    hist, batch = history_and_batch(spark, sf_dir)
+    h = scd2.apply_batch(hist, batch, "id", "name", HIST_COLS).checkpoint(eager=True)
     return scd2.new_in_last_load(h, ["id", "name", "valid_from"])
 
 

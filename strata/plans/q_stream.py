@@ -86,11 +86,11 @@ def snapshot_ingest(spark, sf_dir):
     return snapshots.ingest(spark, path, INGEST_LOAD)
 
 
-@query("scd2_versioned_store", H._APPLY_SQL)
+@query("scd2_versioned_store", H.APPLY_SQL)
 def scd2_versioned_store(spark, sf_dir):
     """§7.3: SCD2 on plain files: bootstrap history, apply one load, read back."""
-    hist, batch = H._history_and_batch(spark, sf_dir)
-    store = VersionedHistory(spark, _scratch(spark, "scd2_store"), "id", "name", H._HIST_COLS)
+    hist, batch = H.history_and_batch(spark, sf_dir)
+    store = VersionedHistory(spark, _scratch(spark, "scd2_store"), "id", "name", H.HIST_COLS)
     store.bootstrap(hist, dt.datetime.fromisoformat(H.SCD2_HISTORY_BEFORE))
     store.apply_load(batch.drop("load_time"), dt.datetime.fromisoformat(H.SCD2_BATCH_LOAD))
     return store.read()
