@@ -49,6 +49,7 @@ class Check:
     ok: str = "eq"  # eq | le | ge
     set_metric: tuple | None = field(default=None, compare=False)  # (kind, columns) of set checks
     levels: tuple[float, float] | None = None  # (warn, error) of two-level checks
+    label: str | None = None  # table_name of the result row (default: the table checked)
 
     def passed(self, observed: Column) -> Column:
         th = F.lit(self.threshold).cast("double")
@@ -160,6 +161,7 @@ def _set_observed(df: DataFrame, check: Check) -> DataFrame:
 # -- running checks -------------------------------------------------------------
 
 def _row(check: Check, table: str, observed: Column) -> list[Column]:
+    table = check.label or table
     if check.levels is not None:
         warn, err = check.levels
         level = (F.when(observed.isNull() | (observed > F.lit(err)), F.lit("error"))
