@@ -178,10 +178,40 @@ def _row(check: Check, table: str, observed: Column) -> list[Column]:
             F.lit(check.severity).alias("severity"), check.passed(observed.cast("double")).alias("passed")]
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
-    """Results of ``checks`` on ``df``: one fused aggregate for scalar checks."""
+def _fused_unique(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Observed values of several single-column unique checks in one pass.
+
+    Each row becomes one struct per check (the check's column in its own
+    field, so no cast changes equality), one grouped count finds the
+    repeated values of every check at once, with partial aggregation.
+    """
+    cols = [c.set_metric[1][0] for c in checks]
+    structs = [F.struct(F.lit(i).alias("_i"),
+                        *[(F.col(col) if j == i else F.lit(None).cast(df.schema[col].dataType)).alias(f"_v{j}")
+                          for j, col in enumerate(cols)])
+               for i in range(len(cols))]
+    pairs = df.select(F.explode(F.array(*structs)).alias("p")).select("p.*")
+    present = F.lit(False)
+    for j in range(len(cols)):
+        present = present | ((F.col("_i") == j) & F.col(f"_v{j}").isNotNull())
+    dup = (pairs.where(present).groupBy("_i", *[f"_v{j}" for j in range(len(cols))])
+           .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+           .groupBy("_i").agg(F.count(F.lit(1)).alias("_dups")))
+    ids = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("_i"))
+    return ids.join(dup, "_i", "left").select("_i", F.coalesce("_dups", F.lit(0)).cast("double").alias("observed"))
+
+
+def run_checks(df: DataFrame, checks: Sequence[Check], table: str, fuse_unique: bool = True) -> DataFrame:
+    """Results of ``checks`` on ``df``: one fused aggregate for scalar checks,
+    one fused grouped pass for single-column unique checks."""
     scalar = [c for c in checks if c.metric is not None]
     parts: list[DataFrame] = []
+    uniques = [c for c in checks if c.metric is None and c.set_metric[0] == "unique"]
+    if fuse_unique and len(uniques) > 1:
+        obs = _fused_unique(df, uniques)
+        for i, c in enumerate(uniques):
+            parts.append(obs.where(F.col("_i") == i).select(*_row(c, table, F.col("observed"))))
+        checks = [c for c in checks if c not in uniques]
     if scalar:
         one = df.agg(*[c.metric.alias(f"_m{i}") for i, c in enumerate(scalar)])
         # unpivot: one row per check, each built from its own metric column

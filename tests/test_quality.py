@@ -69,3 +69,12 @@ def test_freshness_defaults_to_now(spark):
     recent = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(minutes=5)
     df = spark.createDataFrame([(recent,)], "t timestamp_ntz")
     assert Q.run_checks(df, [Q.freshness("t")], "x").first().passed
+
+
+def test_fused_unique_equals_separate(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0), (2, "b", None), (3, None, None), (None, "c", 2.0)],
+                               "a long, b string, c double")
+    checks = [Q.unique("a"), Q.unique("b"), Q.unique("c")]
+    fused = {r.column_name: r.observed for r in Q.run_checks(df, checks, "x").collect()}
+    apart = {r.column_name: r.observed for r in Q.run_checks(df, checks, "x", fuse_unique=False).collect()}
+    assert fused == apart == {"a": 1.0, "b": 1.0, "c": 1.0}
