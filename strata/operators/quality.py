@@ -178,8 +178,8 @@ def _row(check: Check, table: str, observed: Column) -> list[Column]:
             F.lit(check.severity).alias("severity"), check.passed(observed.cast("double")).alias("passed")]
 
 
-def _fused_unique(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Observed values of several single-column unique checks in one pass.
+def _fused_unique(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
+    """Result rows of several single-column unique checks from one pass.
 
     Each row becomes one struct per check (the check's column in its own
     field, so no cast changes equality), one grouped count finds the
@@ -197,8 +197,14 @@ def _fused_unique(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     dup = (pairs.where(present).groupBy("_i", *[f"_v{j}" for j in range(len(cols))])
            .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
            .groupBy("_i").agg(F.count(F.lit(1)).alias("_dups")))
-    ids = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("_i"))
-    return ids.join(dup, "_i", "left").select("_i", F.coalesce("_dups", F.lit(0)).cast("double").alias("observed"))
+    # one row of metadata per check (a handful of rows), joined once
+    meta = df.sparkSession.createDataFrame(
+        [(i, c.name, c.label or table, c.column, float(c.threshold), c.severity) for i, c in enumerate(checks)],
+        "_i int, check_name string, table_name string, column_name string, threshold double, severity string")
+    observed = F.coalesce(F.col("_dups"), F.lit(0)).cast("double")
+    return (meta.join(dup.withColumn("_i", F.col("_i").cast("int")), "_i", "left")
+            .select("check_name", "table_name", "column_name", observed.alias("observed"), "threshold",
+                    "severity", F.coalesce(observed == F.col("threshold"), F.lit(False)).alias("passed")))
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], table: str, fuse_unique: bool = True) -> DataFrame:
@@ -208,9 +214,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str, fuse_unique:
     parts: list[DataFrame] = []
     uniques = [c for c in checks if c.metric is None and c.set_metric[0] == "unique"]
     if fuse_unique and len(uniques) > 1:
-        obs = _fused_unique(df, uniques)
-        for i, c in enumerate(uniques):
-            parts.append(obs.where(F.col("_i") == i).select(*_row(c, table, F.col("observed"))))
+        parts.append(_fused_unique(df, uniques, table))
         checks = [c for c in checks if c not in uniques]
     if scalar:
         one = df.agg(*[c.metric.alias(f"_m{i}") for i, c in enumerate(scalar)])
