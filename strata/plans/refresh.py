@@ -208,7 +208,8 @@ class Refresh:
         aggregate, the newest-row table takes each id from the latest load
         that has it, and SCD2 applies all loads in one pass
         (:meth:`VersionedHistory.apply_loads`). Silver keeps every load (key
-        ``(id, load_time)``).
+        ``(id, load_time)``). Freshness is not checked: past days are old by
+        design.
         """
         schema = T.StructType(snapshots.SNAPSHOT_SCHEMA.fields + [T.StructField("snapshot_day", T.StringType())])
         src = self.spark.read.schema(schema).json(landing)
@@ -257,6 +258,8 @@ class Refresh:
         report.scd2 = self.history.apply_loads(per_load.select(*SCD2_COLUMNS, "load_time"))
         steps.append(("scd2", "success", time.perf_counter() - t0, report.scd2.get("current")))
         self.history_checks(report)
+        self.history.vacuum(keep=2)
+        self.incremental.vacuum(keep=2)
         report.model_runs = self._log(run_id, steps, newest_load)
         return report
 
