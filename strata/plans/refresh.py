@@ -113,8 +113,15 @@ class Refresh:
         out = dedup.union_dedup([raw.select(*cols), incremental.select(*cols)], ["id", "load_time"], order)
         return tables.overwrite(out, self.path("silver", "silver_crypto"))
 
-    def gold_history(self, incremental: DataFrame, load_time: dt.datetime) -> dict:
-        batch = incremental.where(F.col("load_time") == F.lit(load_time).cast("timestamp_ntz"))
+    def gold_history(self, raw: DataFrame, load_time: dt.datetime) -> dict:
+        """Apply this load's newest row per id to the history.
+
+        These are exactly the newest-row table's rows stamped with this load,
+        taken from the load's own raw partition instead of scanning the
+        whole newest-row table.
+        """
+        order = dedup.desc_first("last_updated") + [F.col("total_volume").desc_nulls_last()]
+        batch = dedup.latest(raw.select(*SCD2_COLUMNS, "last_updated"), "id", order)
         return self.history.apply_load(batch.select(*SCD2_COLUMNS), load_time)
 
     def history_checks(self, report: LoadReport) -> DataFrame:
@@ -188,7 +195,7 @@ class Refresh:
         step("quality_gate", lambda: self.gate(raw, load_time, report))
         inc = step("incremental_raw", lambda: self.bronze(raw, load_time, report))
         step("silver_crypto", lambda: self.silver(raw, inc), lambda n: n)
-        report.scd2 = step("scd2", lambda: self.gold_history(inc, load_time),
+        report.scd2 = step("scd2", lambda: self.gold_history(raw, load_time),
                            lambda r: None if r.get("late") else r.get("closed", 0) + r.get("current", 0))
         step("scd2_integrity", lambda: self.history_checks(report))
         # Older full copies (current sets, newest-row tables) are dead weight.
