@@ -127,3 +127,17 @@ def test_vacuum_keeps_history_readable(spark, scratch):
     removed = store.vacuum(keep=1)
     assert len(removed) == 3
     assert rows(store.read()) == before == rows(_loop(spark, loads))
+
+
+def test_merge_replaces_a_closed_row_with_the_same_key(spark):
+    hist = spark.createDataFrame([
+        ("a", "A", 1.0, ts("2024-01-01"), ts("2024-01-03"), False),
+        ("a", "B", 2.0, ts("2024-01-03"), ts("2024-01-05"), False),
+        ("a", "C", 3.0, ts("2024-01-05"), None, True)],
+        "id string, name string, price double, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+    # an old load applied again: MERGE on (id, valid_from) replaces the closed B row
+    out = scd2.apply_batch(hist, _batch(spark, [("a", "D", 4)], "2024-01-03"), "id", "name", COLS)
+    assert rows(out, "name", "valid_from", "valid_to", "is_current") == [
+        ("A", ts("2024-01-01"), ts("2024-01-03"), False),
+        ("C", ts("2024-01-05"), ts("2024-01-03"), False),
+        ("D", ts("2024-01-03"), None, True)]
