@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import quality_divergence, secret_ledger, tree_bpe, warc_zstd
+from strata.llm import jaccard_metric, ppm, quality_divergence, secret_ledger, tree_bpe, warc_zstd
 from strata.llm.common import scratch, table
 
 
@@ -20,6 +20,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every text under a byte model of nine tenths of them."""
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text, through a blob ledger in the shared folder."""
     ledger = secret_ledger.Ledger(spark, scratch(spark, "ledger"))
@@ -31,6 +36,11 @@ def op5_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_bpe.digests(tree_bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op6_jaccard_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents at a Jaccard similarity of 0.75 or more."""
+    return jaccard_metric.components(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict by divergence from the language references."""
     out = quality_divergence.quality(table(spark, sf_dir, "documents"))
@@ -47,7 +57,7 @@ OP10_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 g AS (SELECT h, max(page_id) AS top, count(*) AS n FROM p GROUP BY h)
 SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
-  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + ((('0x' || substr(p.h, 1 + 5 * (i // 4)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
   CASE WHEN n > 1 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n > 1 AND page_id <> top THEN top END AS refers_to
@@ -56,7 +66,7 @@ FROM p JOIN g USING (h)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_secret_ledger, op5_tree_bpe, op9_quality_divergence, op10_warc_zstd)}
+    return {f.__name__: f for f in (op3_ppm, op4_secret_ledger, op5_tree_bpe, op6_jaccard_metric, op9_quality_divergence, op10_warc_zstd)}
 
 
 def oracle_sql() -> dict[str, str]:
