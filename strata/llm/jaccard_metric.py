@@ -44,7 +44,7 @@ WIDTH = 5
 NUMBER, OF = 75, 100  # the threshold as a fraction
 LIMIT = 4_000_000  # shingles that a task joins at once
 PIVOTS = 16  # of a region and round
-HEAVY = 1 << 22  # at most so many frequent shingles are sent to all tasks (64 MB)
+HEAVY = 1 << 21  # at most so many frequent shingles are sent to all tasks (24 MB)
 COUNTED = 3  # the order starts with one shingle in so many; those are counted
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -269,7 +269,7 @@ def _prefixes(docs: DataFrame, heavy, rare: int, width: int, t: Fraction) -> Dat
                 group = np.where(s % np.uint64(COUNTED) == 0, 0, 1)
                 if len(known):
                     i = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    group = np.where(known[i] == s, 1 + often[i], group)
+                    group = np.where(known[i] == s, 1 + often[i].astype(np.int64), group)
                 chosen = np.lexsort((s, group))[:k]
                 if rare == 2:  # then what is counted but not often is this text's alone
                     chosen = chosen[group[chosen] != 0]
@@ -410,10 +410,11 @@ def components(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] =
     steps = [2, 3, 4, 6, *(1 << i for i in range(3, 60))]
     above = counted.agg(*(F.count(F.when(F.col("n") >= k, 1)) for k in steps)).first()
     rare = next(k for k, n in zip(steps, above, strict=True) if n <= HEAVY)
-    often = counted.where(F.col("n") >= rare).toPandas().sort_values("shingle")
-    values = often["shingle"].to_numpy(np.int64).view(np.uint64)
+    often = counted.where(F.col("n") >= rare).select("shingle", F.least("n", F.lit((1 << 31) - 1)).cast("int").alias("n")).toArrow()
+    values = often["shingle"].to_numpy().view(np.uint64)
     by = np.argsort(values)
-    heavy = spark.sparkContext.broadcast((values[by], often["n"].to_numpy(np.int64)[by]))
+    heavy = spark.sparkContext.broadcast((values[by], often["n"].to_numpy()[by]))
+    del often, values, by
     rows = stored(_prefixes(d, heavy, rare, width, t), "prefixes")
     low = rows.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     near = rows.join(low.drop("high"), "shingle").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()

@@ -10,8 +10,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import jaccard_metric, ppm, quality_divergence, secret_ledger, tree_bpe, warc_zstd
-from strata.llm.common import scratch, table
+from strata.llm import (
+    bigru_langid,
+    edit_decontam,
+    jaccard_metric,
+    link_trust,
+    ppm,
+    quality_divergence,
+    secret_ledger,
+    subseq_svm,
+    tree_bpe,
+    warc_zstd,
+)
+from strata.llm.common import fold_of, scratch, table
+
+
+TOXIC = 0.7  # texts from this score on are toxic
 
 
 def vocabulary() -> str:
@@ -20,6 +34,16 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or link-graph verdict of every page's url."""
+    return link_trust.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_edit_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in every document, within its error budget."""
+    return edit_decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every text under a byte model of nine tenths of them."""
     return ppm.score(table(spark, sf_dir, "documents"))
@@ -41,6 +65,19 @@ def op6_jaccard_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_metric.components(table(spark, sf_dir, "documents"))
 
 
+def op7_subseq_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from two thirds of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    out = subseq_svm.scores(docs, subseq_svm.machine(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                      (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+def op8_bigru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from three quarters of the labelled ones."""
+    return bigru_langid.predict(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict by divergence from the language references."""
     out = quality_divergence.quality(table(spark, sf_dir, "documents"))
@@ -66,7 +103,9 @@ FROM p JOIN g USING (h)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_ppm, op4_secret_ledger, op5_tree_bpe, op6_jaccard_metric, op9_quality_divergence, op10_warc_zstd)}
+    return {f.__name__: f for f in (
+        op1_link_trust, op2_edit_decontam, op3_ppm, op4_secret_ledger, op5_tree_bpe, op6_jaccard_metric,
+        op7_subseq_svm, op8_bigru_langid, op9_quality_divergence, op10_warc_zstd)}
 
 
 def oracle_sql() -> dict[str, str]:
