@@ -45,6 +45,7 @@ NUMBER, OF = 75, 100  # the threshold as a fraction
 LIMIT = 4_000_000  # shingles that a task joins at once
 PIVOTS = 16  # of a region and round
 HEAVY = 1 << 21  # at most so many frequent shingles are sent to all tasks (24 MB)
+MARKS, BITS = 1 << 23, 27  # at most so many repeated shingles are marked in a bitmap of 2^BITS (16 MB)
 COUNTED = 3  # the order starts with one shingle in so many; those are counted
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -247,12 +248,20 @@ def _read(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(rows, "doc_id long, node long, n_shingles long, sign binary, shingle long, n long")
 
 
-def _prefixes(docs: DataFrame, heavy, rare: int, width: int, t: Fraction) -> DataFrame:
-    """(shingle, node) of the first shingles of every text, but those known to
-    occur nowhere else; equal texts that a task meets again are left out, their
+def _bitmap(counted: DataFrame) -> np.ndarray:
+    """The low bits of all repeated shingles."""
+    at = counted.select(F.col("shingle").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("at")).toArrow()["at"].to_numpy()
+    out = np.zeros(1 << BITS - 3, np.uint8)
+    np.bitwise_or.at(out, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    return out
+
+
+def _prefixes(docs: DataFrame, heavy, width: int, t: Fraction) -> DataFrame:
+    """(shingle, node) of the first shingles of every text, but those that the
+    bitmap knows to occur nowhere else; equal texts that a task meets again are left out, their
     sets being linked by their sign."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, often = heavy.value
+        known, often, marks = heavy.value
         met: set[int] = set()
         for b in batches:
             found, nodes = [], []
@@ -271,9 +280,11 @@ def _prefixes(docs: DataFrame, heavy, rare: int, width: int, t: Fraction) -> Dat
                     i = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     group = np.where(known[i] == s, 1 + often[i].astype(np.int64), group)
                 chosen = np.lexsort((s, group))[:k]
-                if rare == 2:  # then what is counted but not often is this text's alone
-                    chosen = chosen[group[chosen] != 0]
                 first = s[chosen]
+                if marks is not None:
+                    at = first & np.uint64((1 << BITS) - 1)
+                    found_twice = marks[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1
+                    first = first[(first % np.uint64(COUNTED) != 0) | (found_twice > 0)]
                 found.append(first)
                 nodes.append(np.full(len(first), node, np.int64))
             if found:
@@ -413,11 +424,12 @@ def components(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] =
     often = counted.where(F.col("n") >= rare).select("shingle", F.least("n", F.lit((1 << 31) - 1)).cast("int").alias("n")).toArrow()
     values = often["shingle"].to_numpy().view(np.uint64)
     by = np.argsort(values)
-    heavy = spark.sparkContext.broadcast((values[by], often["n"].to_numpy()[by]))
+    heavy = spark.sparkContext.broadcast((values[by], often["n"].to_numpy()[by],
+                                           _bitmap(counted) if above[0] <= MARKS else None))
     del often, values, by
-    rows = stored(_prefixes(d, heavy, rare, width, t), "prefixes")
-    low = rows.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    near = rows.join(low.drop("high"), "shingle").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    rows = stored(_prefixes(d, heavy, width, t), "prefixes").repartition("shingle")  # dealt once for both uses
+    low = rows.groupBy("shingle").agg(F.min("node").alias("low"))
+    near = rows.join(low, "shingle").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
 
     full = meta.where("n_shingles > 0")
     first = full.groupBy("n_shingles", "sign").agg(F.min("node").alias("first"))
