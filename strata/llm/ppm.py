@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import fold_of, stored, texts
 
 ORDER = 4  # bytes of the longest context; up to 6 fit a key
-BLOCK = 24 << 20  # bytes of text that a task scores together
+BLOCK = 16 << 20  # bytes of text that a task scores together
 CHUNK = 4 << 20  # bytes of text whose strings are counted at a time
 SYMBOLS = 257  # 256 byte values and the end mark
 # Not in UTF-8: the byte before a text, as context, and the end mark.

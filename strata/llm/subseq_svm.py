@@ -196,10 +196,10 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, rounds
         weight = marks.weight(w)
     raw = np.array([windows(code, weight).max(initial=0.0) for _, code in held])
     label = np.array([(1 + s) / 2 for s, _ in held])
-    # a logistic fit; classes weigh the same, so that 0.5 parts them evenly
+    # a logistic fit over all texts: where classes overlap, the larger one wins
     mid, spread = np.median(raw), raw.std() or 1.0
     slope, offset, z = 1.0, 0.0, (raw - mid) / spread
-    share = np.where(label > 0, 0.5 / label.sum(), 0.5 / (1 - label).sum())
+    share = 1 / len(label)
     for _ in range(60):  # Newton steps
         p = 1 / (1 + np.exp(-np.clip(slope * z + offset, -30, 30)))
         g = np.array([((p - label) * share * z).sum() + 1e-4 * slope, ((p - label) * share).sum()])
