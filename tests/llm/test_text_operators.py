@@ -348,7 +348,7 @@ def brute_base(text):
 
 
 def test_quality_base_and_divergence(spark):
-    docs = small(spark, "documents").select("doc_id", "text", "lang").union(awkward(spark).select("doc_id", "text", "lang").where("doc_id <> 3").withColumn("doc_id", -awkward(spark)["doc_id"]))
+    docs = small(spark, "documents").select("doc_id", "text", "lang").union(awkward(spark).select("doc_id", "text", "lang").where("doc_id <> 3").selectExpr("-doc_id", "text", "lang"))
     rows = docs.collect()
     got = {r.doc_id: r for r in quality_divergence.quality(docs).collect()}
     for r in rows:
