@@ -276,15 +276,17 @@ def _prefixes(docs: DataFrame, heavy, width: int, t: Fraction) -> DataFrame:
                     met.add(sign)
                 k = prefix_size(len(s), t)
                 group = np.where(s % np.uint64(COUNTED) == 0, 0, 1)
+                if marks is not None:
+                    at = s & np.uint64((1 << BITS) - 1)
+                    twice = marks[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1
+                    group[(group == 0) & (twice > 0)] = 2
                 if len(known):
                     i = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    group = np.where(known[i] == s, 1 + often[i].astype(np.int64), group)
+                    group = np.where(known[i] == s, 2 + often[i].astype(np.int64), group)
                 chosen = np.lexsort((s, group))[:k]
+                if marks is not None:  # the first kind is this text's alone
+                    chosen = chosen[group[chosen] != 0]
                 first = s[chosen]
-                if marks is not None:
-                    at = first & np.uint64((1 << BITS) - 1)
-                    found_twice = marks[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1
-                    first = first[(first % np.uint64(COUNTED) != 0) | (found_twice > 0)]
                 found.append(first)
                 nodes.append(np.full(len(first), node, np.int64))
             if found:
@@ -445,9 +447,10 @@ def components(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] =
         groups.select(F.col("root").alias("node"), F.col("root").alias("region")).distinct())
     members = members.join(equal.select("node", "n_shingles").groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node")
     sizes = members.groupBy("region").agg(F.sum("n_shingles").alias("size"))
-    members = stored(members.join(sizes, "region").withColumn("home", F.lit(True)), "members")
-    one = d.select("node", "text")
-    links = [copies, _joined(members.where(F.col("size") <= limit).join(one, "node"), width, t)]
+    # the texts of the candidates, once, are all that is dealt from here on
+    members = stored(members.join(sizes, "region").withColumn("home", F.lit(True)).join(d.select("node", "text"), "node"), "members")
+    one = members.select("node", "text")
+    links = [copies, _joined(members.where(F.col("size") <= limit), width, t)]
     links += _large(members.where(F.col("size") > limit).select("region", "node", "home", "n_shingles"), one, width, t, limit, pivots)
     every = links[0]
     for part in links[1:]:
