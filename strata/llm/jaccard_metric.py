@@ -46,6 +46,7 @@ LIMIT = 4_000_000  # shingles that a task joins at once
 PIVOTS = 16  # of a region and round
 HEAVY = 1 << 21  # at most so many frequent shingles are sent to all tasks (24 MB)
 MARKS, BITS = 1 << 23, 27  # at most so many repeated shingles are marked in a bitmap of 2^BITS (16 MB)
+SENT = 1 << 18  # up to so many candidates are sent to the texts (12 MB), instead of dealing all texts out
 COUNTED = 3  # the order starts with one shingle in so many; those are counted
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -448,7 +449,9 @@ def components(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] =
     members = members.join(equal.select("node", "n_shingles").groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node")
     sizes = members.groupBy("region").agg(F.sum("n_shingles").alias("size"))
     # the texts of the candidates, once, are all that is dealt from here on
-    members = stored(members.join(sizes, "region").withColumn("home", F.lit(True)).join(d.select("node", "text"), "node"), "members")
+    members = stored(members.join(sizes, "region").withColumn("home", F.lit(True)), "members")
+    few = F.broadcast(members) if members.count() <= SENT else members
+    members = stored(d.select("node", "text").join(few, "node"), "texts")
     one = members.select("node", "text")
     links = [copies, _joined(members.where(F.col("size") <= limit), width, t)]
     links += _large(members.where(F.col("size") > limit).select("region", "node", "home", "n_shingles"), one, width, t, limit, pivots)
