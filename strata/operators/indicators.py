@@ -18,7 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.exprs import DEFAULT_SUM_SCALE, exact_avg, names
+from strata.functions.exprs import exact_avg, names
+from strata.functions.timefns import try_ts
 from strata.operators import ohlc
 from strata.operators.sequence import hot_keys, over_sequence
 
@@ -32,11 +33,10 @@ def ma_name(n: int) -> str:
 
 
 def add_moving_averages(df: DataFrame, part: Sequence[str], order: Sequence[str],
-                        value: str = "close", spans: Sequence[int] = DEFAULT_SPANS,
-                        scale: int | None = DEFAULT_SUM_SCALE) -> DataFrame:
+                        value: str = "close", spans: Sequence[int] = DEFAULT_SPANS) -> DataFrame:
     w = Window.partitionBy(*part).orderBy(*order)
     # one select: all frames of one window spec are evaluated by one operator
-    return df.select("*", *[exact_avg(value, w.rowsBetween(-(n - 1), 0), scale).alias(ma_name(n))
+    return df.select("*", *[exact_avg(value, w.rowsBetween(-(n - 1), 0)).alias(ma_name(n))
                             for n in spans])
 
 
@@ -56,12 +56,12 @@ def add_signal(df: DataFrame, part: Sequence[str], order: Sequence[str],
 def moving_averages(candles: DataFrame, key: str | Sequence[str] = "id",
                     order: Sequence[str] = ("candle_time", "valid_from"),
                     value: str = "close", spans: Sequence[int] = DEFAULT_SPANS,
-                    scale: int | None = DEFAULT_SUM_SCALE, hot=True) -> DataFrame:
+                    hot=True) -> DataFrame:
     """``ma_N`` columns over candle rows."""
     keys, order = names(key), list(order)
 
     def compute(df, part):
-        return add_moving_averages(df, part, order, value, spans, scale)
+        return add_moving_averages(df, part, order, value, spans)
 
     return over_sequence(candles, keys, order, compute, rows_before=max(spans) - 1,
                          time_col=order[0], hot=hot)
@@ -82,7 +82,7 @@ def trading_signals(indicators: DataFrame, key: str | Sequence[str] = "id",
 
 def signal_chain(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "valid_from",
                  price: str = "current_price", tiebreak: Sequence[str] = (),
-                 spans: Sequence[int] = DEFAULT_SPANS, scale: int | None = DEFAULT_SUM_SCALE,
+                 spans: Sequence[int] = DEFAULT_SPANS,
                  parse: bool = False, hot=True, with_signal: bool = True) -> DataFrame:
     """Observations -> candles -> averages -> signals in one plan.
 
@@ -101,10 +101,11 @@ def signal_chain(df: DataFrame, key: str | Sequence[str] = "id", ts: str = "vali
     out_cols = [*keys, "candle_time", ts, "close", *[ma_name(n) for n in spans]]
     out_cols += ["signal"] if with_signal else []
     if hot is True:
-        hot = hot_keys(df, keys, ts)
+        # text times are parsed before their spread is measured
+        hot = hot_keys(df.withColumn(ts, try_ts(F.col(ts))) if parse else df, keys, ts)
 
     def indicators_and_signal(d, part):
-        d = add_moving_averages(d, part, order, "close", spans, scale)
+        d = add_moving_averages(d, part, order, "close", spans)
         return add_signal(d, part, order, fast, slow) if with_signal else d
 
     if not hot:

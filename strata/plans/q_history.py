@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.functions.exprs import new_or_changed
 from strata.functions.timefns import trunc_ntz
 from strata.operators import dedup, ranking, scd2, upsert
 from strata.plans.bindings import table
@@ -260,7 +261,7 @@ def scd2_change_predicate(spark, sf_dir):
     cur = dedup.latest(o.where(F.col("o_orderdate") < split), "o_custkey", order)
     src = dedup.latest(o.where(F.col("o_orderdate") >= split), "o_custkey", order)
     j = src.join(cur.select("o_custkey", F.col("o_orderstatus").alias("old_status")), "o_custkey", "left")
-    return (j.where(F.col("old_status").isNull() | (F.col("o_orderstatus") != F.col("old_status")))
+    return (j.where(new_or_changed("o_orderstatus", "old_status"))
             .select("o_custkey", "o_orderkey", "o_orderstatus", "old_status"))
 
 

@@ -164,7 +164,7 @@ def _stream_signals_sql() -> str:
 
     def ma(n: int) -> str:
         f = frame.format(n=n - 1)
-        return f"CAST(sum(CAST(close AS DECIMAL(18,6))) {f} AS DOUBLE) / count(close) {f} AS ma_{n}"
+        return f"list_reduce(list(close) {f}, lambda a, b: a + b) / count(close) {f} AS ma_{n}"
     return f"""
 WITH c AS (
     SELECT user_id AS id, date_trunc('hour', ts) AS candle_time,

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.functions.exprs import DEFAULT_SUM_SCALE, join_null_safe, names
+from strata.functions.exprs import join_null_safe, names
 from strata.operators import indicators
 from strata.operators.sequence import over_sequence
 
@@ -27,8 +27,7 @@ NEW = "_new"
 
 def incremental_signals(new: DataFrame, stored: DataFrame | None, key: str | Sequence[str] = "id",
                         order: str = "candle_time", value: str = "close",
-                        spans: Sequence[int] = indicators.DEFAULT_SPANS,
-                        scale: int | None = DEFAULT_SUM_SCALE) -> DataFrame:
+                        spans: Sequence[int] = indicators.DEFAULT_SPANS) -> DataFrame:
     """Averages and signal for the rows of ``new``, continuing ``stored``.
 
     ``stored`` holds earlier candles of the same series (any keys); rows of
@@ -48,7 +47,7 @@ def incremental_signals(new: DataFrame, stored: DataFrame | None, key: str | Seq
     fast, slow = indicators.ma_name(min(spans)), indicators.ma_name(max(spans))
 
     def compute(d, part):
-        d = indicators.add_moving_averages(d, part, [order], value, spans, scale)
+        d = indicators.add_moving_averages(d, part, [order], value, spans)
         return indicators.add_signal(d, part, [order], fast, slow)
 
     out = over_sequence(rows, keys, [order], compute, rows_before=reach, time_col=order)

@@ -85,3 +85,23 @@ def test_candles_by_join_equal_window_candles(spark):
     b = rows(ohlc.candle_rows_by_join(df))
     assert len(a) == len(b) == df.count()
     assert [r for r in a if r[2] is not None] == [r for r in b if r[2] is not None]
+
+
+def test_averages_keep_all_digits(spark):
+    """Tiny and huge prices: the average is that of the doubles."""
+    from strata.operators.indicators import signal_chain
+
+    for scale in (3e-9, 2e12):
+        rows = [("k", f"2024-01-01T{i:02d}:00:00Z", scale * (i + 1)) for i in range(20)]
+        df = spark.createDataFrame(rows, "id string, valid_from string, current_price double")
+        got = {r.candle_time.hour: r.ma_10 for r in signal_chain(df, parse=True).collect()}
+        for i in range(20):
+            frame = [scale * (k + 1) for k in range(max(0, i - 9), i + 1)]
+            assert abs(got[i] - sum(frame) / len(frame)) <= 1e-12 * got[i]
+
+
+def test_new_or_changed(spark):
+    from strata.functions.exprs import new_or_changed
+
+    df = spark.createDataFrame([("a", None), ("a", "a"), ("a", "b")], "new string, old string")
+    assert [r[0] for r in df.select(new_or_changed("new", "old")).collect()] == [True, False, True]
