@@ -31,7 +31,7 @@ from strata.llm.common import fold_of
 SAMPLE, CHARS, SHARE = 4_000, 4_000, 64  # 16 MB of text at the driver at most
 WIDTH, EMBED, LONGEST = 16, 16, 24  # state, embedding, bytes read at a time
 STEPS, BATCH, RATE = 500, 128, 0.01
-TABLE = 300_000  # words remembered per worker; only speed depends on it
+TABLE = 800_000  # words remembered per worker; only speed depends on it
 SIGNS = bytes(x for x in range(33, 127) if not chr(x).isalpha())
 LETTER = re.compile(r"[^\W\d_]")
 
