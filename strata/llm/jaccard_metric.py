@@ -391,12 +391,17 @@ def _large(members: DataFrame, docs: DataFrame, width: int, t: Fraction, limit:
                                                    F.max("own").alias("any_own"))
         kept = (kept.join(some.where("near IS NOT NULL AND any_own"), ["region", "pivot"])
                 .where(F.col("d") >= F.col("near") - eps - 1e-9))
-        size = kept.groupBy("region", "pivot").agg(F.sum("n_shingles").alias("size")).join(old, "region")
+        size = stored(kept.groupBy("region", "pivot").agg(F.sum("n_shingles").alias("size")).join(old, "region"), "sizes")
+        # of a region with several parts about as large as it is, all in all larger, the region itself is joined, once
+        whole = stored(size.where((F.col("size") > limit) & (F.col("size") > 0.8 * F.col("old"))).groupBy("region")
+                       .agg(F.sum("size").alias("size"), F.max("old").alias("old")).where("size > old").select("region", "old"), "whole")
+        kept = kept.join(whole, "region", "left_anti")
         kept = kept.drop("near", "any_own").join(size, ["region", "pivot"]).select(
             F.xxhash64("region", "pivot").alias("region"), "node", F.col("own").alias("home"), "n_shingles", "size", "old")
         kept = stored(kept, "regions")
         links.append(_joined(kept.where(F.col("size") <= limit).join(docs, "node"), width, t))
-        stuck = kept.where((F.col("size") > limit) & (F.col("size") > 0.8 * F.col("old")))
+        stuck = kept.where((F.col("size") > limit) & (F.col("size") > 0.8 * F.col("old"))).select("region", "node", "home", "size")
+        stuck = stuck.union(members.join(whole, "region").select("region", "node", "home", F.col("old").alias("size")))
         # block by block: every pair of blocks of half the limit is a region
         n = F.ceil(2 * F.col("size") / limit).cast("int")
         block = F.pmod(F.xxhash64("node"), n).cast("int")
