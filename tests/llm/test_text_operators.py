@@ -367,6 +367,23 @@ def test_quality_base_and_divergence(spark):
     assert quality_divergence.quality(docs.limit(0)).count() == 0
 
 
+def test_quality_of_texts_without_common_words(spark):
+    docs = small(spark, "documents").where("lang IS NOT NULL").select("doc_id", "text", "lang")
+    rng = random.Random(9)
+    junk = " ".join("".join(rng.choices("bcdfgklmnprtv", k=rng.randint(3, 8))) + "&&&" for _ in range(400))
+    signs = " ".join(rng.choice(["the", "of", "and"]) + rng.choice(["&&&", "%%%"]) + str(i) for i in range(300))
+    rare = [(10_000 + i, " ".join(rng.choices(["и", "в", "не", "на", "слово", "город", "река", "книга", "дорога"], k=150)), "ru") for i in range(2)]
+    more = spark.createDataFrame([(-1, junk, "en"), (-2, signs, "en"), *rare, (-3, "x " * 50, "junk")], "doc_id long, text string, lang string")
+    common = docs.union(docs.selectExpr("doc_id + 100000", "text", "lang"))  # the rare language marks under 1 of 64
+    got = {r.doc_id: r for r in quality_divergence.quality(common.union(more)).collect()}
+    assert not (got[-1].base_failed or got[-1].kept or got[-2].base_failed or got[-2].kept)
+    assert all(got[i].kept and got[i].nearest == "ru" for i, _, _ in rare)
+    assert "junk" not in {r.nearest for r in got.values()}  # no text of it passes the base rules
+    labels = {r.doc_id: r.quality for r in small(spark, "labels").collect()}
+    good = [got[i].kept for i, q in labels.items() if q and not got[i].base_failed]
+    assert sum(good) >= 0.97 * len(good)
+
+
 # --- op10
 
 def test_warc_round_trip(spark):
