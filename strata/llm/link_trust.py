@@ -9,7 +9,8 @@ the links, to those that link there. A host is blocked if its share of all
 distrust exceeds ``ratio`` times its share of all trust, and ``floor``.
 
 Edges join hosts: links and host names that a page credits (href or src, and
-names after a copyright sign), and a host with its parent domain, both ways.
+names after a copyright sign), and a host with its parent domain, that with its
+own parent and so on, as long as the parent has a dot, both ways.
 They are summed per pair of hosts before anything is spread. Each iteration is
 one join and one sum per host, written to the shared folder.
 
@@ -68,9 +69,12 @@ def edges(pages: DataFrame) -> DataFrame:
     links = (pages.where("host <> ''").select("host", F.explode(names).alias("b"))
              .groupBy(F.col("host").alias("a"), bare.alias("b")).agg(F.count("*").alias("n")))
     hosts = links.select("a").union(links.select("b")).union(pages.select("host")).toDF("a").where("a <> ''").distinct()
-    # a host is below its parent when that has a dot of its own
+    # every suffix of a host, and its parent when that has a dot of its own
+    labels = F.split("a", r"\.")
+    chain = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     parent = F.regexp_extract("a", r"^[^.]+\.(.+\..+)$", 1)
-    below = hosts.select("a", parent.alias("b")).where("b <> ''").withColumn("n", F.lit(1).cast("long"))
+    below = (hosts.select(F.explode(chain).alias("a")).select("a", parent.alias("b")).where("b <> ''").distinct()
+             .withColumn("n", F.lit(1).cast("long")))
     both = links.union(below).union(below.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
     return both.where("a <> b AND b <> ''").groupBy("a", "b").agg(F.sum("n").alias("n"))
 

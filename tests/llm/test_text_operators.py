@@ -77,6 +77,18 @@ def test_spread_is_personalised_pagerank(spark):
     assert np.allclose([got[h] for h in "abc"], want, atol=1e-2)
 
 
+def test_parent_domains_are_joined_to_the_top(spark):
+    pages = spark.createDataFrame([("blog.x.example.com", None), ("y.example.com", None), ("a.b.c.d.net", None)], "host string, html string")
+    got = {(r.a, r.b, r.n) for r in link_trust.edges(pages).collect()}
+    up = [("blog.x.example.com", "x.example.com"), ("x.example.com", "example.com"), ("y.example.com", "example.com"),
+          ("a.b.c.d.net", "b.c.d.net"), ("b.c.d.net", "c.d.net"), ("c.d.net", "d.net")]
+    assert got == {(a, b, 1) for a, b in up} | {(b, a, 1) for a, b in up}
+    # distrust of a blocked page reaches a host three levels away
+    web = spark.createDataFrame([(1, "http://blog.x.bad.net/de/"), (2, "http://shop.z.bad.net/a")], "page_id long, url string").selectExpr("*", "'' AS html")
+    rules = (("blog.x.bad.net", "/de/", "block"),)
+    assert {r.page_id: r.verdict for r in link_trust.judge(web, rules).collect()} == {1: "block", 2: "block"}
+
+
 # --- op2
 
 def edit_distance_inside(item, text):
