@@ -3,13 +3,13 @@
 The network reads the bytes of a word, both ways, and labels every position
 with a distribution over languages; a text's is the mean over all positions
 of its words. It is trained in numpy by backpropagation through time (Adam,
-cross entropy at every position) on words of a bounded sample of labelled texts:
-at most ``SAMPLE`` texts, chosen by the hash of their id, and of each up to
-``CHARS`` characters. The state starts anew at each word, so equal words have
+cross entropy at every position) on words of a bounded sample of labelled texts,
+chosen by the hash of their id: of each language an equal part of ``SAMPLE``, but
+``LEAST`` at least, and of each text up to ``CHARS`` characters. The state starts anew at each word, so equal words have
 equal labels: a bounded table per worker holds what the network said of them.
 
-A language counts when it has texts to learn from and at least 1/``SHARE`` of
-them. Defined results: a NULL text, or one without a letter, is ``und`` with
+Every language with a word to learn from is learned, however rare; beyond
+``MANY`` languages the steps grow with their number. Defined results: a NULL text, or one without a letter, is ``und`` with
 score 0; with no language to learn every text is; repeated rows each give a
 row; an empty table gives an empty result. Ties fall to the first language in
 order.
@@ -25,12 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from strata.llm.common import fold_of
 
-SAMPLE, CHARS, SHARE = 4_000, 4_000, 64  # 16 MB of text at the driver at most
+SAMPLE, CHARS, LEAST = 4_000, 4_000, 16  # 16 MB of text at the driver, beyond 250 languages 64 kB for each
 WIDTH, EMBED, LONGEST = 16, 16, 24  # state, embedding, bytes read at a time
 STEPS, BATCH, RATE = 500, 128, 0.01
+MANY = 16  # languages that STEPS suffice for
 TABLE = 800_000  # words remembered per worker; only speed depends on it
 SIGNS = bytes(x for x in range(33, 127) if not chr(x).isalpha())
 LETTER = re.compile(r"[^\W\d_]")
@@ -178,16 +180,16 @@ def words_of(text: str) -> list[bytes]:
 
 def train(samples: list[tuple[str, str]], steps: int = STEPS, seed: int = 7) -> Model | None:
     """A network trained on (language, text) samples, languages balanced."""
-    langs = sorted({lang for lang, _ in samples})
+    words: dict[str, list[bytes]] = {}
+    for lang, text in samples:
+        if held := [w[:LONGEST] for w in words_of(text)]:
+            words.setdefault(lang, []).extend(held)
+    langs = sorted(words)
     if not langs:
         return None
     model, rng = Model(langs, seed), np.random.default_rng(seed)
-    pool = []
-    for lang in langs:
-        held = [w[:LONGEST] for of, text in samples if of == lang for w in words_of(text) if len(w) > 0]
-        if not held:
-            held = [b"?"]
-        pool.append(held)
+    pool = [words[lang] for lang in langs]
+    steps = steps * max(len(langs), MANY) // MANY
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in model.parameters()]
     for step in range(1, steps + 1):
         label = rng.integers(0, len(langs), BATCH)
@@ -202,18 +204,22 @@ def train(samples: list[tuple[str, str]], steps: int = STEPS, seed: int = 7) ->
 
 
 def sample(docs: DataFrame, learn, bound: int = SAMPLE) -> list[tuple[str, str]]:
-    """(lang, text) of at most ``bound`` texts, chosen by the hash of their id,
-    of every language that counts."""
-    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = labelled.groupBy("lang").count()
-    langs = [r["lang"] for r in share.where(F.col("count") * SHARE >= labelled.count()).collect()]
-    rows = []
-    for lang in sorted(langs):
-        ids = labelled.where(F.col("lang") == lang).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound // len(langs))
-        chosen = [r["doc_id"] for r in ids.collect()]
-        rows += [(lang, r["text"]) for r in labelled.where((F.col("lang") == lang) & F.col("doc_id").isin(chosen))
-                 .select(F.substring("text", 1, CHARS).alias("text")).limit(bound // len(langs)).collect()]
-    return rows
+    """(lang, text) of an equal number of texts of every language, chosen by the
+    hash of their id: ``bound`` in all, but ``LEAST`` a language at least."""
+    labelled = docs.where(learn & F.col("lang").isNotNull() & (F.trim("text") != ""))
+    langs = labelled.select("lang").distinct().count()
+    if not langs:
+        return []
+    each = max(bound // langs, LEAST)
+
+    def first(rows: DataFrame) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+        return rows.withColumn("rank", rank).where(F.col("rank") <= each).drop("rank")
+    ids = first(labelled.select("lang", "doc_id")).distinct().withColumnsRenamed({"lang": "of", "doc_id": "id"})
+    # an id may be repeated, so the texts are counted again
+    texts = first(labelled.join(F.broadcast(ids), (F.col("lang") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
+                  .select("lang", "doc_id", F.substring("text", 1, CHARS).alias("text")))
+    return [(r["lang"], r["text"]) for r in texts.sort("lang", F.xxhash64("doc_id"), "doc_id", "text").collect()]
 
 
 def predict(docs: DataFrame, held_out: int = 2, folds: int = 4, id_col: str = "doc_id", text_col: str = "text",

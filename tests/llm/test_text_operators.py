@@ -348,6 +348,21 @@ def test_gradients_and_held_out_languages(spark):
     assert none.first().lang_pred == "und"
 
 
+def test_rare_and_many_languages_are_learned(spark):
+    rng = random.Random(8)
+    letters = {"rare": "абвгд", **{f"l{k:02}": "".join(chr(0x3B1 + (5 * k + i) % 24) + chr(0x61 + (7 * k + i) % 26) for i in range(3)) for k in range(70)}}
+    text = lambda lang: " ".join("".join(rng.choices(letters[lang], k=5)) for _ in range(30))
+    rows = [(lang, text(lang)) for lang in letters for _ in range(2 if lang == "rare" else 6)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    import pyspark.sql.functions as F
+    drawn = bigru_langid.sample(docs, F.lit(True))
+    assert {lang for lang, _ in drawn} == set(letters) and len(drawn) == len(rows)
+    few = docs.where("lang IN ('rare', 'l00', 'l05')").withColumn("n", F.explode(F.when(F.col("lang") == "rare", F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.lit(40)))))
+    got = bigru_langid.predict(few.withColumn("doc_id", F.col("doc_id") + 1000 * F.col("n")), held_out=9).collect()
+    rare = [r for r in got if r.doc_id < 2]
+    assert len(rare) == 2 and {r.lang_pred for r in rare} == {"rare"}
+
+
 # --- op9
 
 def brute_base(text):
