@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import let, texts
+from strata.llm.common import let, scratch, texts
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,8 @@ BASE_RULES = (
 )
 EXTRA_RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 29),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 27),
+    # from BEGIN to its END line, or to the text's end
+    Rule("pem", r"(?s)-----BEGIN [A-Z ]*PRIVATE KEY-----(?:.*?-----END [A-Z ]*PRIVATE KEY-----|.*)", 27, version=3),
 )
 RULES = BASE_RULES + EXTRA_RULES
 
@@ -78,26 +79,25 @@ def spans(text: Column, rule: Rule) -> Column:
     return F.when(text.rlike(rule.pattern), let(parts, placed)).otherwise(F.array().cast(SPAN))
 
 
-def masked(text: Column, rule: Rule) -> Column:
-    """The text with the rule's findings replaced by ``[KIND]``; matches that
-    the rule drops stay."""
-    def rebuilt(row: Column) -> Column:
-        return F.array_join(F.transform(row["between"], lambda x, i: F.concat(x, F.coalesce(
-            F.when(F.length(F.get(row["measured"], i)) >= rule.least, F.lit(f"[{rule.kind.upper()}]"))
-            .otherwise(F.get(row["found"], i)), F.lit("")))), "")
+def merged(found: Column) -> Column:
+    """Findings that overlap as one span of the first one's kind: (start, kind, end)."""
+    step = F.aggregate(
+        found, F.array().cast("array<struct<start:int,kind:string,end:int>>"),
+        lambda acc, s: let(F.get(acc, F.size(acc) - 1), lambda last: F.when(
+            F.size(acc).cast("boolean") & (s["start"] < last["end"]),
+            F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(
+                last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end")))))
+            .otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))))))
+    return step
 
-    def parts(t: Column) -> Column:
-        return F.struct(F.regexp_extract_all(t, F.lit(rule.pattern), F.lit(0)).alias("found"),
-                        F.regexp_extract_all(t, F.lit(rule.pattern), F.lit(rule.group)).alias("measured"),
-                        F.split(t, rule.pattern, -1).alias("between"))
-    return let(text, lambda t: F.when(t.rlike(rule.pattern), let(parts(t), rebuilt)).otherwise(t))
 
-
-def redacted(text: Column, rules=RULES) -> Column:
-    """Every finding of the rules masked, rule after rule."""
-    for rule in rules:
-        text = masked(text, rule)
-    return text
+def masked(text: Column, found: Column) -> Column:
+    """The text with each merged span of its findings replaced by ``[KIND]``."""
+    def rebuilt(spans: Column) -> Column:
+        before = F.transform(spans, lambda s, i: let(F.coalesce(F.get(spans, i - 1)["end"], F.lit(0)), lambda at: F.concat(
+            F.substring(text, at + 1, s["start"] - at), F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+        return F.concat(F.array_join(before, ""), F.substring(text, F.get(spans, F.size(spans) - 1)["end"] + 1, F.length(text)))
+    return F.when(F.size(found) > 0, let(merged(found), rebuilt)).otherwise(text)
 
 
 class Ledger:
@@ -130,6 +130,19 @@ class Ledger:
          .write.parquet(f"{self.path}/scan-{uuid.uuid4().hex}"))
 
 
+def known_spans(ledger: Ledger, rules=RULES) -> DataFrame:
+    """(blob, found) of the ledger's blobs with findings of these rules: array of
+    (start, rank, kind, end) sorted by start, then the order of the rules."""
+    ranks = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))))
+    kinds = F.create_map(*(x for r in rules for x in (F.lit(r.key), F.lit(r.kind))))
+    return (ledger.read().where(F.col("rule").isin([r.key for r in rules]) & (F.size("spans") > 0))
+            .dropDuplicates(["blob", "rule"])
+            .withColumn("found", F.transform("spans", lambda s: F.struct(
+                s["start"].alias("start"), ranks[F.col("rule")].alias("rank"),
+                kinds[F.col("rule")].alias("kind"), s["end"].alias("end"))))
+            .groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found")))
+
+
 def scan_paths(versions: DataFrame, ledger: Ledger, rules=RULES, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Bring the ledger up to date for all versions and join its findings back
@@ -137,14 +150,7 @@ def scan_paths(versions: DataFrame, ledger: Ledger, rules=RULES, id_col: str = "
     sorted by start, then the order of the rules)."""
     held = texts(versions, id_col, text_col).withColumn("blob", F.sha2(F.col("text").cast("binary"), 256))
     ledger.scan(held.select("blob", "text"), rules)
-    ranks = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))))
-    kinds = F.create_map(*(x for r in rules for x in (F.lit(r.key), F.lit(r.kind))))
-    known = (ledger.read().where(F.col("rule").isin([r.key for r in rules]) & (F.size("spans") > 0))
-             .dropDuplicates(["blob", "rule"])
-             .withColumn("found", F.transform("spans", lambda s: F.struct(
-                 s["start"].alias("start"), ranks[F.col("rule")].alias("rank"),
-                 kinds[F.col("rule")].alias("kind"), s["end"].alias("end"))))
-             .groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found")))
+    known = known_spans(ledger, rules)
     empty = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
     return (held.select("doc_id", "blob").join(known, "blob", "left")
             .select("doc_id", "blob", F.coalesce("found", empty).alias("found")))
@@ -163,6 +169,12 @@ def digest(found: DataFrame, rules=BASE_RULES) -> DataFrame:
         F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text(F.col("found")).alias("spans"))
 
 
-def clean_spans(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``, secrets in the text masked."""
-    return docs.withColumn(text_col, redacted(F.col(text_col), rules))
+def clean_spans(docs: DataFrame, rules=RULES, text_col: str = "text", ledger: Ledger | None = None) -> DataFrame:
+    """All rows and columns of ``docs``, the secrets in the text masked by the
+    spans that the ledger (a new one by default) holds of its blob."""
+    ledger = ledger or Ledger(docs.sparkSession, scratch(docs.sparkSession, "ledger"))
+    blob = F.sha2(F.coalesce(docs[text_col], F.lit("")).cast("binary"), 256)
+    ledger.scan(docs.select(blob.alias("blob"), F.coalesce(docs[text_col], F.lit("")).alias("text")), rules)
+    known = known_spans(ledger, rules).select(F.struct("blob", "found").alias("_known"))
+    held = docs.join(known, blob == F.col("_known.blob"), "left")
+    return held.withColumn(text_col, masked(docs[text_col], F.col("_known.found"))).select(docs.columns)

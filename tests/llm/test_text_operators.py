@@ -216,6 +216,24 @@ def test_secrets_match_brute_force(spark):
     assert secret_ledger.scan_paths(docs.limit(0), secret_ledger.Ledger(spark, scratch(spark, "ledger"))).count() == 0
 
 
+def test_texts_are_masked_by_the_ledgers_spans(spark):
+    key = "-----BEGIN RSA PRIVATE KEY-----\nMIIEabc+/=\nline\n-----END RSA PRIVATE KEY-----"
+    rows = [(1, f"😀 a {key} z AKIA{'A' * 16}.", 7), (1, f"😀 a {key} z AKIA{'A' * 16}.", 8), (2, key[:60] + " cut", 7),
+            (3, "token=" + "0a" * 16 + " x", 7), (4, None, 7), (5, "", 7), (None, "none", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, blob int")
+    ledger = secret_ledger.Ledger(spark, scratch(spark, "ledger"))
+    out = secret_ledger.clean_spans(docs, ledger=ledger)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text, r.blob) for r in out.collect()), key=repr)
+    one = "😀 a [PEM] z [ACCESS]."
+    assert got == sorted([(1, one, 7), (1, one, 8), (2, "[PEM]", 7), (3, "[ASSIGN] x", 7), (4, None, 7), (5, "", 7), (None, "none", 7)], key=repr)
+    before = ledger.read().count()
+    secret_ledger.clean_spans(docs, ledger=ledger).count()  # nothing is left to scan
+    assert ledger.read().count() == before == 5 * len(secret_ledger.RULES)
+    spans = {r.doc_id: [(s.kind, s.start, s.end) for s in r.found] for r in secret_ledger.scan_paths(docs, ledger).collect()}
+    assert spans[1] == [("pem", 4, 4 + len(key)), ("access", 7 + len(key), 27 + len(key))]
+
+
 # --- op5
 
 def test_bpe_equals_the_library(spark):
