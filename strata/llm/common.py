@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from strata.session import checkpoint_dir
 
@@ -46,3 +47,24 @@ def let(value: Column, body) -> Column:
 def fold_of(id_col: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def ranked(df: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``pos``, the 0-based place of a row within its ``group`` (NULL
+    is a group) in the given order, and ``n``, the group's rows. The rows are
+    range-partitioned by group and order, numbered inside each partition and
+    shifted by the group's rows in earlier partitions, so a group of any size is
+    spread over tasks; one task sees at most a row per partition of a group.
+    Rows with equal order come in any order. ``df`` is computed twice (ranges are
+    sampled): hand in a stored table."""
+    keys = [F.col(group).asc_nulls_first(), *order]
+    numbered = stored(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                      .withColumn("_id", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_id", 33)  # the partition, by the definition of the function
+    counts = numbered.groupBy(group, part.alias("_part")).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_m"))
+    w = W.partitionBy(group)
+    before = F.sum("_m").over(w.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    shifts = counts.select(F.struct(F.col(group).alias("g"), "_part", F.sum("_m").over(w).alias("n"),
+                                    (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("by")).alias("_s"))
+    return (numbered.join(shifts, part.eqNullSafe(F.col("_s._part")) & F.col(group).eqNullSafe(F.col("_s.g")))
+            .select(*df.columns, (F.col("_id") + F.col("_s.by")).alias("pos"), F.col("_s.n").alias("n")))

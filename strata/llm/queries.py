@@ -15,6 +15,7 @@ from strata.llm import (
     edit_decontam,
     jaccard_metric,
     link_trust,
+    merkle_levels,
     ppm,
     quality_divergence,
     secret_ledger,
@@ -90,6 +91,12 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_merkle_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, each checked against the root."""
+    return merkle_levels.verify(table(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 OP10_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 g AS (SELECT h, max(page_id) AS top, count(*) AS n FROM p GROUP BY h)
@@ -102,11 +109,56 @@ FROM p JOIN g USING (h)
 """
 
 
+def _op12_sql(levels: int = 7) -> str:
+    """Both trees level by level, up to 16 ** ``levels`` nodes each."""
+    def row(text: str) -> str:
+        return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in (
+            "doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(t: str) -> str:
+        steps = []
+        for k in range(levels):
+            steps.append(f"""
+{t}{k + 1} AS (SELECT tree, pos // 16 AS pos, (n + 15) // 16 AS n,
+  CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h FROM {t}{k} GROUP BY tree, pos // 16, n),
+{t}s{k} AS (SELECT tree, pos, n > 1 AS up, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {t}{k} WINDOW w AS (PARTITION BY tree, pos // 16 ORDER BY pos))""")
+        return ",".join(steps)
+
+    def path(src: str, t: str, tree_of: str, at: str) -> str:
+        steps = []
+        for k in range(levels):
+            last = f"{src}{k}"
+            steps.append(f"""
+{src}{k + 1} AS (SELECT d.* REPLACE (CASE WHEN s.up THEN sha256(s.l || d.cur || s.r) ELSE d.cur END AS cur,
+  CASE WHEN s.up THEN d.proof || s.l || s.r ELSE d.proof END AS proof)
+  FROM {last} d JOIN {t}s{k} s ON s.tree IS NOT DISTINCT FROM d.{tree_of} AND s.pos = d.{at} // {16 ** k})""")
+        return ",".join(steps)
+    return f"""
+WITH bits AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs),
+d AS (SELECT *, {row("text")} AS leaf, {row("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS low,
+  xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, crcs[1 + (xor(c, b) & 255)])), 4294967295) AS crc FROM documents, bits),
+a AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY source) AS cnt FROM d),
+a0 AS (SELECT source AS tree, pos, cnt AS n, leaf AS h FROM a),{tree("a")},
+b0 AS (SELECT 0 AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, h, tree AS source FROM a{levels}),
+{tree("b")},
+p0 AS (SELECT a.doc_id, a.leaf, a.source, 0 AS one, a.pos, b0.pos AS place, b0.h AS subroot, b{levels}.h AS root,
+  CASE WHEN coalesce(crc % 5 = 0, false) THEN low ELSE leaf END AS cur, '' AS proof
+  FROM a JOIN b0 ON a.source IS NOT DISTINCT FROM b0.source CROSS JOIN b{levels}),{path("p", "a", "source", "pos")},
+q0 AS (SELECT * FROM p{levels}),{path("q", "b", "one", "place")}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified FROM q{levels}
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_link_trust, op2_edit_decontam, op3_ppm, op4_secret_ledger, op5_tree_bpe, op6_jaccard_metric,
-        op7_subseq_svm, op8_bigru_langid, op9_quality_divergence, op10_warc_zstd)}
+        op7_subseq_svm, op8_bigru_langid, op9_quality_divergence, op10_warc_zstd, op12_merkle_levels)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc_zstd": OP10_SQL}
+    return {"op10_warc_zstd": OP10_SQL, "op12_merkle_levels": _op12_sql()}
