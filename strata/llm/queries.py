@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strata.llm import (
     bigru_langid,
     edit_decontam,
+    hash_mixture,
     jaccard_metric,
     link_trust,
     merkle_levels,
@@ -97,6 +98,11 @@ def op12_merkle_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_hash_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix of all sources by weight takes."""
+    return hash_mixture.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 OP10_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 g AS (SELECT h, max(page_id) AS top, count(*) AS n FROM p GROUP BY h)
@@ -109,6 +115,31 @@ FROM p JOIN g USING (h)
 """
 
 
+# Targets: with the sources in order of stop to weight, a stopped source is one of the first.
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+  (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+o AS (SELECT *, (sum(source_size) OVER ())::HUGEINT AS total,
+  coalesce(sum(3 * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS held,
+  sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS shared
+  FROM s WINDOW w AS (ORDER BY source_size::DOUBLE / weight, source)),
+f AS (SELECT *, 3 * source_size * shared < (total - held) * weight AS above FROM o),
+r AS (SELECT coalesce(sum(3 * source_size) FILTER (above), 0)::DOUBLE AS held, sum(weight) FILTER (NOT above)::DOUBLE AS shared FROM f),
+t AS (SELECT f.source, source_size, CASE WHEN above THEN (3 * source_size)::DOUBLE
+  ELSE (total::DOUBLE - r.held) * weight / r.shared END AS target FROM f CROSS JOIN r),
+b AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole,
+  target - whole * source_size AS budget FROM t),
+k AS (SELECT source, key, sum(size) AS size, (sum(sum(size)) OVER (PARTITION BY source ORDER BY key))::BIGINT AS upto
+  FROM d GROUP BY source, key),
+x AS (SELECT k.source, k.key, upto <= budget OR (upto - k.size <= budget AND 2 * budget >= 2 * (upto - k.size) + k.size) AS more
+  FROM k JOIN b ON k.source IS NOT DISTINCT FROM b.source)
+SELECT d.doc_id, d.size, b.source_size, b.target, d.size * (whole + more::BIGINT) AS taken
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN x ON x.source IS NOT DISTINCT FROM d.source AND x.key = d.key
+"""
+
+
 def _op12_sql(levels: int = 7) -> str:
     """Both trees level by level, up to 16 ** ``levels`` nodes each."""
     def row(text: str) -> str:
@@ -157,8 +188,9 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_link_trust, op2_edit_decontam, op3_ppm, op4_secret_ledger, op5_tree_bpe, op6_jaccard_metric,
-        op7_subseq_svm, op8_bigru_langid, op9_quality_divergence, op10_warc_zstd, op12_merkle_levels)}
+        op7_subseq_svm, op8_bigru_langid, op9_quality_divergence, op10_warc_zstd, op12_merkle_levels,
+        op13_hash_mixture)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc_zstd": OP10_SQL, "op12_merkle_levels": _op12_sql()}
+    return {"op10_warc_zstd": OP10_SQL, "op12_merkle_levels": _op12_sql(), "op13_hash_mixture": OP13_SQL}
