@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import (
     bigru_langid,
+    collocations,
     edit_decontam,
     hash_mixture,
     jaccard_metric,
@@ -92,6 +93,11 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 phrases of two to four words of every language."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of all documents, each checked against the root."""
     return merkle_levels.verify(table(spark, sf_dir, "documents")).select(
@@ -115,6 +121,27 @@ FROM p JOIN g USING (h)
 """
 
 
+OP11_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+at AS (SELECT lang, w, len(w) AS size, unnest(range(1, len(w) + 1)) AS i FROM w),
+f AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m, count(*) AS a
+  FROM at, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= size GROUP BY ALL HAVING count(*) >= 30),
+cut AS (SELECT lang, phrase, m, a, k, string_split(phrase, ' ') AS v FROM f, (SELECT unnest([1, 2, 3]) AS k) WHERE k < m),
+s AS (SELECT c.lang, c.phrase, c.m, c.a, c.k, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a // (x.a::HUGEINT + y.a))::BIGINT AS score FROM cut c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(v[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(v[k + 1:m], ' ')),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, array_to_string(v[i:i + j - 1], ' ') AS phrase, max(a) AS cover
+  FROM (SELECT lang, m, a, string_split(phrase, ' ') AS v FROM f WHERE m > 2), (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS j)
+  WHERE j < m AND i + j - 1 <= m GROUP BY ALL),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank, b.phrase, a, l, r, n.n, score
+FROM best b JOIN n USING (lang) LEFT JOIN inner_ USING (lang, phrase) WHERE cover IS NULL OR 100 * cover < 80 * a
+QUALIFY rank <= 2000
+"""
+
 # Targets: with the sources in order of stop to weight, a stopped source is one of the first.
 OP13_SQL = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -188,9 +215,9 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_link_trust, op2_edit_decontam, op3_ppm, op4_secret_ledger, op5_tree_bpe, op6_jaccard_metric,
-        op7_subseq_svm, op8_bigru_langid, op9_quality_divergence, op10_warc_zstd, op12_merkle_levels,
+        op7_subseq_svm, op8_bigru_langid, op9_quality_divergence, op10_warc_zstd, op11_collocations, op12_merkle_levels,
         op13_hash_mixture)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc_zstd": OP10_SQL, "op12_merkle_levels": _op12_sql(), "op13_hash_mixture": OP13_SQL}
+    return {"op10_warc_zstd": OP10_SQL, "op11_collocations": OP11_SQL, "op12_merkle_levels": _op12_sql(), "op13_hash_mixture": OP13_SQL}
