@@ -125,13 +125,13 @@ OP11_SQL = r"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
-at AS (SELECT lang, w, len(w) AS size, unnest(range(1, len(w) + 1)) AS i FROM w),
+places AS (SELECT lang, w, len(w) AS size, unnest(range(1, len(w) + 1)) AS i FROM w),
 f AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m, count(*) AS a
-  FROM at, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= size GROUP BY ALL HAVING count(*) >= 30),
+  FROM places, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= size GROUP BY ALL HAVING count(*) >= 30),
 cut AS (SELECT lang, phrase, m, a, k, string_split(phrase, ' ') AS v FROM f, (SELECT unnest([1, 2, 3]) AS k) WHERE k < m),
 s AS (SELECT c.lang, c.phrase, c.m, c.a, c.k, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a // (x.a::HUGEINT + y.a))::BIGINT AS score FROM cut c
-  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(v[1:k], ' ')
-  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(v[k + 1:m], ' ')),
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.v[1:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.v[c.k + 1:c.m], ' ')),
 best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 inner_ AS (SELECT lang, array_to_string(v[i:i + j - 1], ' ') AS phrase, max(a) AS cover
   FROM (SELECT lang, m, a, string_split(phrase, ' ') AS v FROM f WHERE m > 2), (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS j)
