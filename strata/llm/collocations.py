@@ -4,17 +4,16 @@ A text is lower-cased (A-Z), split into pieces at punctuation and line ends and
 these into words at blanks; phrases never cross a piece. Texts of a language
 are gathered into blocks. In a block, prefix sums of a polynomial over the bytes
 give every word's hash, and prefix sums over those hashes give the fingerprint
-of every phrase by one subtraction. Equal fingerprints of a block are compared
-word by word, so a group is one phrase; it is emitted once, with its number of
-occurrences and a pointer to the first (block and word).
+of every phrase by one subtraction. A block emits a fingerprint once, with its
+number of occurrences and a pointer, the block.
 
 A shuffle by fingerprint sums the occurrences. Only fingerprints that reach the
-minimum go back, as pointers, to their blocks, which read the phrase's text
-there: frequent phrases alone are materialised. Counts are summed once more by
-that text, which parts phrases of different blocks that share a fingerprint, so
-the result is exact at any width of the fingerprint. Words and pairs go first;
-longer phrases are fingerprinted where all their pairs are frequent, which no
-frequent phrase fails.
+minimum go back along their pointers to the blocks, which find the places,
+compare them word by word, so that a group is one phrase, and read its text:
+frequent phrases alone are materialised. Counts are summed once more by that
+text, which parts phrases that share a fingerprint, so the result is exact at
+any width of the fingerprint. Words and pairs go first; longer phrases are
+fingerprinted where all their pairs are frequent, which no frequent phrase fails.
 
 A block is one task's memory; everything else is spread by fingerprint or text.
 A word in all texts is one row a block. The best phrases of a language are
@@ -53,7 +52,8 @@ FOLD[list(b".,;:!?\n\x0b\x0c\r")] = END
 FOLD[9] = GAP
 
 BLOCKS = "block long, lang string, words long, data binary"
-GROUPS = "key long, block long, at long, times int"
+GROUPS = "key long, pointer long"  # pointer: block << TIMES | occurrences in it
+TIMES = 24
 PHRASES = "lang string, phrase string, times long"
 
 
@@ -171,13 +171,18 @@ def _sliced(columns: list, schema: pa.Schema, rows: int = 1 << 17) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(c[i:i + rows], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-GROUP_SCHEMA = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("at", pa.int64()), ("times", pa.int32())])
+GROUP_SCHEMA = pa.schema([("key", pa.int64()), ("pointer", pa.int64())])
 PHRASE_SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("times", pa.int64())])
 
 
-def _groups(block: Block, number: int, n: int, keys: np.ndarray, at: np.ndarray) -> list:
-    key, first, times = block.groups(n, keys, at)
-    return [key, np.full(len(key), number, np.int64), first << 3 | n, times]
+def _counted(number: int, keys: np.ndarray) -> list:
+    """(key, pointer) of the different keys; a number of occurrences beyond TIMES bits is several rows."""
+    key, times = np.unique(keys, return_counts=True)
+    out, most = [], (1 << TIMES) - 1
+    while len(key):
+        out.append((key, number << TIMES | np.minimum(times, most)))
+        key, times = key[times > most], times[times > most] - most
+    return [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2
 
 
 # --- Spark
@@ -206,10 +211,10 @@ def blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:
                 inside = (part != GAP) & (part != END)
                 words = int(inside[:1].sum() + (inside[1:] & ~inside[:-1]).sum())
                 if words:
-                    number = TaskContext.get().partitionId() << 32 | made
+                    number = TaskContext.get().partitionId() << 16 | made  # 39 bits are left
                     made += 1
                     yield pa.RecordBatch.from_pylist([{"block": number, "lang": lang, "words": words, "data":
-                                                       zstandard.ZstdCompressor(level=1).compress(part.tobytes())}], schema=schema)
+                                                       zstandard.ZstdCompressor(level=3).compress(part.tobytes())}], schema=schema)
                 at = to
         for b in batches:
             texts = b["text"].cast(pa.binary())
@@ -239,58 +244,65 @@ def short_groups(held: DataFrame, bits: int) -> DataFrame:
             for i in range(b.num_rows):
                 block, seed = opened(b["data"][i].as_py(), bits), seed_of(b["lang"][i].as_py())
                 for n in (1, 2):
-                    keys = block.keys(n, seed)
-                    yield from _sliced(_groups(block, b["block"][i].as_py(), n, keys, np.flatnonzero(block.fits(n))), GROUP_SCHEMA)
+                    keys = block.keys(n, seed)[block.fits(n)]
+                    yield from _sliced(_counted(b["block"][i].as_py(), keys), GROUP_SCHEMA)
     return held.mapInArrow(count, GROUPS)
 
 
 def frequent(groups: DataFrame, least: int) -> DataFrame:
-    """The groups whose fingerprint reaches ``least`` occurrences in all."""
-    total = F.sum("times").over(W.partitionBy("key"))
-    return groups.withColumn("total", total).where(F.col("total") >= least).drop("total")
+    """(key, block) of the fingerprints that reach ``least`` occurrences in all."""
+    times = F.col("pointer").bitwiseAND((1 << TIMES) - 1)
+    total = F.sum(times).over(W.partitionBy("key"))
+    return (groups.withColumn("total", total).where(F.col("total") >= least)
+            .select("key", F.shiftright("pointer", TIMES).alias("block")))
 
 
-def phrases_at(held: DataFrame, groups: DataFrame, bits: int, longest: int) -> DataFrame:
-    """(lang, phrase, times) read at the pointers of ``groups`` and, with
-    ``longest`` over 2, the GROUPS of longer phrases all of whose pairs are
-    among them; one kind of column is NULL in a row of the other."""
-    schema = pa.schema(list(PHRASE_SCHEMA) + [pa.field("key", pa.int64()), pa.field("block", pa.int64()), pa.field("at", pa.int64())])
+def phrases_at(held: DataFrame, found: DataFrame, bits: int, lengths: tuple, longest: int = 0) -> DataFrame:
+    """(lang, phrase, times) of the phrases of ``lengths`` words whose fingerprints
+    ``found`` names in a block and, up to ``longest`` words, the GROUPS of longer
+    phrases all of whose pairs are among them; one kind of column is NULL in a
+    row of the other."""
+    schema = pa.schema(list(PHRASE_SCHEMA) + list(GROUP_SCHEMA))
 
-    def read(block_rows: pa.Table, group_rows: pa.Table) -> pa.Table:
+    def read(block_rows: pa.Table, key_rows: pa.Table) -> pa.Table:
         out = []
-        if block_rows.num_rows and group_rows.num_rows:
+        if block_rows.num_rows and key_rows.num_rows:
             lang, number = block_rows["lang"][0].as_py(), block_rows["block"][0].as_py()
-            block = opened(block_rows["data"][0].as_py(), bits)
-            at, times = group_rows["at"].to_numpy(), group_rows["times"].to_numpy()
-            found = [block.phrase(a >> 3, a & 7) for a in at.tolist()]
-            none = pa.nulls(len(found), pa.int64())
-            out.append(pa.table([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string()),
-                                 pa.array(times, pa.int64()), none, none, none], schema=schema))
-            if longest > 2:
-                seed, pairs = seed_of(lang), group_rows["key"].to_numpy()[at & 7 == 2]
-                keys = block.keys(2, seed)
-                pair = block.fits(2) & np.isin(keys, pairs)
-                for n in range(3, longest + 1):
-                    m = max(len(block.start) - n + 1, 0)
-                    good = np.ones(m, bool)
-                    for j in range(n - 1):
-                        good &= pair[j:j + m]
-                    key, own, first, times = _groups(block, number, n, block.keys(n, seed), np.flatnonzero(good))
-                    none = pa.nulls(len(key), pa.string())
-                    out.append(pa.table([none, none, pa.array(times, pa.int64()), pa.array(key), pa.array(own), pa.array(first)], schema=schema))
+            block, seed = opened(block_rows["data"][0].as_py(), bits), seed_of(lang)
+            wanted = np.unique(key_rows["key"].to_numpy())
+            for n in lengths:
+                keys = block.keys(n, seed)
+                hit = np.flatnonzero(block.fits(n))
+                hit = hit[wanted[np.searchsorted(wanted, keys[hit]).clip(max=len(wanted) - 1)] == keys[hit]]
+                _, first, times = block.groups(n, keys, hit)
+                none = pa.nulls(len(first), pa.int64())
+                out.append(pa.table([pa.array([lang] * len(first), pa.string()), pa.array(
+                    [block.phrase(i, n) for i in first.tolist()], pa.string()), pa.array(times, pa.int64()), none, none], schema=schema))
+                if n == 2 and longest > 2:
+                    pair = np.zeros(len(keys), bool)
+                    pair[hit] = True
+                    for m in range(3, longest + 1):
+                        size = max(len(block.start) - m + 1, 0)
+                        good = np.ones(size, bool)
+                        for j in range(m - 1):
+                            good &= pair[j:j + size]
+                        key, pointer = _counted(number, block.keys(m, seed)[good])
+                        none = pa.nulls(len(key), pa.string())
+                        out.append(pa.table([none, none, pa.nulls(len(key), pa.int64()), pa.array(key), pa.array(pointer)], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
     return (held.select("block", "lang", "data").groupBy("block")
-            .cogroup(groups.groupBy("block")).applyInArrow(read, PHRASES + ", key long, block long, at long"))
+            .cogroup(found.groupBy("block")).applyInArrow(read, f"{PHRASES}, {GROUPS}"))
 
 
 def counted(docs: DataFrame, least: int = 30, longest: int = 4, bits: int = 64, size: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, words, a) of all phrases of up to ``longest`` words (2 to 7)
-    that occur ``least`` times or more in their language, and (lang, n) of all its words."""
+    """(lang, phrase, words, a) of all phrases of up to ``longest`` words that
+    occur ``least`` times or more in their language, and (lang, n) of all its words."""
     held = blocks(docs, size)
-    both = stored(phrases_at(held, stored(frequent(short_groups(held, bits), least), "short"), bits, longest), "phrases")
-    long = both.where(F.col("key").isNotNull()).select("key", "block", "at", F.col("times").cast("int").alias("times"))
+    short = stored(frequent(short_groups(held, bits), least), "short")
+    both = stored(phrases_at(held, short, bits, (1, 2), longest), "phrases")
+    long = stored(frequent(both.where(F.col("key").isNotNull()).select("key", "pointer"), least), "long")
     found = both.where(F.col("phrase").isNotNull()).select("lang", "phrase", "times").unionByName(
-        phrases_at(held, stored(frequent(long, least), "long"), bits, 0).select("lang", "phrase", "times"))
+        phrases_at(held, long, bits, tuple(range(3, longest + 1))).select("lang", "phrase", "times"))
     sums = found.groupBy("lang", "phrase").agg(F.sum("times").alias("a")).where(F.col("a") >= least)
     return (stored(sums.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "a"), "frequent"),
             stored(held.groupBy("lang").agg(F.sum("words").alias("n")), "totals"))

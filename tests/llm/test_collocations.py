@@ -113,6 +113,12 @@ def test_polynomials_do_not_depend_on_the_place():
     assert int(C.polynomials(values, np.array([2]), np.array([5]))[0]) == whole
 
 
+def test_a_count_beyond_its_bits_is_several_rows(monkeypatch):
+    monkeypatch.setattr(C, "TIMES", 3)
+    key, pointer = C._counted(5, np.array([9] * 20 + [4]))
+    assert sorted(zip(key.tolist(), (pointer >> 3).tolist(), (pointer & 7).tolist())) == [(4, 5, 1), (9, 5, 6), (9, 5, 7), (9, 5, 7)]
+
+
 def test_empty_table_and_given_documents(spark):
     docs = table(spark, SF_SMALL, "documents")
     assert C.mine(docs.limit(0)).count() == 0
