@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -46,7 +47,15 @@ def test_three_loads(spark, scratch):
     assert r.mkt_cap().count() == 20
     assert r.new_versions().count() > 0
     log_rows = tables.read_table(spark, r.path("monitoring", "model_runs"))
-    assert log_rows.where("status = 'success'").count() == 6 * 4
+    assert log_rows.where("status IN ('success', 'pass')").count() == 6 * 4
+    # rows opened or closed, and nothing for the late run
+    touched = {(x.run_id, x.rows_affected) for x in log_rows.where("model_name = 'scd2'").collect()}
+    assert {n for _, n in touched} == {rep.scd2["opened"] + rep.scd2["closed"] for rep in reports} | {0}
+    h = r.history.read()
+    assert sum(rep.scd2["closed"] for rep in reports) == h.where("NOT is_current").count()
+    assert again.gauges["new_records_total"] == 0 and again.gauges["tracked_rows_affected"] == 0
+    runs = tables.read_table(spark, r.path("monitoring", "pipeline_runs"))
+    assert runs.count() == 4 and runs.where("duration_seconds > 0 AND finished_at > started_at").count() == 4
 
 
 def test_backfill_equals_sequential_loads(spark, scratch):
@@ -64,6 +73,57 @@ def test_backfill_equals_sequential_loads(spark, scratch):
     assert rows(bf.history.read()) == rows(seq.history.read())
     inc_cols = [*snapshots.EXPECTED_COLUMNS, "load_time"]
     assert rows(bf.incremental.read().select(*inc_cols)) == rows(seq.incremental.read().select(*inc_cols))
+    _same_models(bf, seq)
+
+
+def _same_models(a, b):
+    """Every model of two warehouses, by value."""
+    for model in ("incremental_raw", "silver_crypto", "scd2", "candles", "indicators", "signals", "mkt_cap", "new_versions"):
+        x, y = getattr(a, model)(), getattr(b, model)()
+        cols = [c for c in x.columns if c != "partition_date"]
+        assert rows(x, *cols) == rows(y, *cols), model
+    ids = [r.id for r in a.mkt_cap().collect()]
+    assert len(ids) == len(set(ids)) == 20
+
+
+def test_a_past_day_ends_like_loads_in_order(spark, scratch):
+    landing = write_snapshots(spark, SF, f"{scratch}/landing")
+
+    def load(r, day, **kw):
+        return r.run(f"{landing}/snapshot_day={day}", dt.datetime.fromisoformat(day) + dt.timedelta(hours=23, minutes=59), **kw)
+    # a tracked price changes with every load, so the past day cuts every interval
+    seq = Refresh(spark, f"{scratch}/seq", tracked=("current_price",))
+    out = Refresh(spark, f"{scratch}/out", tracked=("current_price",), deep_checks=False)
+    for d in DAYS:
+        load(seq, d)
+    for d in (DAYS[0], DAYS[2]):
+        load(out, d)
+    before = rows(out.silver_crypto())
+    refused = load(out, DAYS[1])
+    assert refused.scd2["late"] and rows(out.silver_crypto()) == before
+    assert out.raw_data().where(f"partition_date = '{DAYS[1]}'").count() == 0
+    placed = load(out, DAYS[1], past=True)
+    assert placed.scd2["opened"] + placed.scd2["closed"] > 0 and not placed.model_checks_failed
+    _same_models(out, seq)
+
+
+def test_a_failing_gate_leaves_gauges_and_an_alert(spark, scratch):
+    landing = write_snapshots(spark, SF, f"{scratch}/landing")
+    r = Refresh(spark, f"{scratch}/wh", deep_checks=False)
+    load_time = dt.datetime(2024, 1, 1, 23, 59)
+    with pytest.raises(Exception, match="freshness"):
+        r.run(f"{landing}/snapshot_day=2024-01-01", load_time, as_of=load_time + dt.timedelta(hours=9))
+    gauges = {x.metric: x.value for x in tables.read_table(spark, r.path("monitoring", "gauges")).collect()}
+    assert gauges["run_success"] == 0.0 and gauges["new_records_total"] == 0.0
+    run = tables.read_table(spark, r.path("monitoring", "pipeline_runs")).first()
+    assert run.status == "failure" and run.duration_seconds > 0
+    later = run.finished_at + dt.timedelta(minutes=2)
+    assert [a.alert for a in r.alerts(later).collect()] == ["run_failed"]
+    assert r.alerts(run.finished_at + dt.timedelta(seconds=5)).count() == 0
+    assert {a.alert for a in r.alerts(run.finished_at + dt.timedelta(days=2)).collect()} == {"run_failed", "stale"}
+    # the same load, judged in time, goes through
+    done = r.run(f"{landing}/snapshot_day=2024-01-01", load_time)
+    assert done.gauges["run_success"] == 1.0 and r.history.read().count() > 0
 
 
 def test_late_rows_are_counted(spark, scratch):
