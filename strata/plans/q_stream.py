@@ -122,11 +122,11 @@ def stream_ohlc(spark, sf_dir):
 _SNAP_STREAM_SCHEMA = T.StructType(snapshots.SNAPSHOT_SCHEMA.fields + [T.StructField("snapshot_day", T.StringType())])
 
 
-def _daily_latest_sql() -> str:
-    return """
+def _latest_sql(unit: str) -> str:
+    return f"""
     SELECT id, name, current_price, load_time, total_volume FROM (
         SELECT CAST(user_id AS VARCHAR) AS id, event_type AS name, value AS current_price,
-               date_trunc('day', ts) AS load_time, CAST(event_id AS DOUBLE) AS total_volume,
+               date_trunc('{unit}', ts)::TIMESTAMP AS load_time, CAST(event_id AS DOUBLE) AS total_volume,
                CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS last_updated
         FROM events
     ) s
@@ -134,18 +134,22 @@ def _daily_latest_sql() -> str:
                                                                total_volume DESC) = 1"""
 
 
-@query("stream_scd2", f"""
+def _history_sql(unit: str) -> str:
+    return f"""
 SELECT id, name, current_price, valid_from, valid_to, valid_to IS NULL AS is_current FROM (
     SELECT id, name, current_price, load_time AS valid_from,
            lead(load_time) OVER (PARTITION BY id ORDER BY load_time) AS valid_to
     FROM (
         SELECT *, lag(name) OVER w AS prev_name, row_number() OVER w AS rn
-        FROM ({_daily_latest_sql()}) d
+        FROM ({_latest_sql(unit)}) d
         WINDOW w AS (PARTITION BY id ORDER BY load_time)
     ) m
     WHERE rn = 1 OR prev_name IS DISTINCT FROM name
 ) v
-""")
+"""
+
+
+@query("stream_scd2", _history_sql("day"))
 def stream_scd2(spark, sf_dir):
     """L1: daily snapshot files -> foreachBatch -> newest per (id, load) -> versioned SCD2."""
     root = _scratch(spark, "stream_scd2")
@@ -233,3 +237,68 @@ def stream_latest(spark, sf_dir):
                                          newest_table=newest)
     return newest.read().select("id", "symbol", "name", "current_price", "market_cap_rank", "total_volume",
                                 "last_updated", "load_time")
+
+
+def _feed(spark, path: str, unit: str, files: int | None = None):
+    """Landed daily files as a stream (or, without ``files``, a batch) of loads of one ``unit``."""
+    if files is None:
+        src = spark.read.schema(_SNAP_STREAM_SCHEMA).json(path)
+    else:
+        src = spark.readStream.schema(_SNAP_STREAM_SCHEMA).option("maxFilesPerTrigger", files).json(path)
+    load = F.date_trunc(unit, F.to_timestamp(F.col("snapshot_day"), "yyyy-MM-dd")).cast("timestamp_ntz")
+    return snapshots.normalise(src, keep=["snapshot_day"]).withColumn("load_time", load).drop("snapshot_day")
+
+
+def _by_time():
+    return dedup.desc_first("last_updated") + [F.col("total_volume").desc()]
+
+
+#: Files of a micro-batch: a weekly load of daily files never ends where a batch does.
+SPLIT_FILES = 10
+
+
+@query("stream_scd2_split", _history_sql("week"))
+def stream_scd2_split(spark, sf_dir):
+    """L1: weekly loads split over micro-batches of daily files, in whatever order these come."""
+    root = _scratch(spark, "stream_scd2_split")
+    path = write_snapshots(spark, sf_dir, f"{root}/landing")
+    store = VersionedHistory(spark, f"{root}/scd2", "id", "name", ["id", "name", "current_price"])
+    stream_snapshots.run_snapshot_stream(spark, _feed(spark, path, "week", SPLIT_FILES), store, ["id"], _by_time(),
+                                         f"{root}/_checkpoint", late="merge")
+    return store.read()
+
+
+@query("stream_latest_split", f"""
+SELECT id, symbol, name, current_price, market_cap_rank, total_volume, last_updated, load_time FROM (
+    SELECT * REPLACE (date_trunc('week', load_time)::TIMESTAMP AS load_time),
+           row_number() OVER (PARTITION BY id ORDER BY date_trunc('week', load_time) DESC NULLS FIRST,
+                              last_updated DESC NULLS FIRST, total_volume DESC) AS rn
+    FROM ({_snapshot_rows_sql()}) s
+) WHERE rn = 1
+""")
+def stream_latest_split(spark, sf_dir):
+    """L1 (I2 part): the newest row per id from weekly loads split over micro-batches."""
+    root = _scratch(spark, "stream_latest_split")
+    path = write_snapshots(spark, sf_dir, f"{root}/landing")
+    newest = VersionedTable(spark, f"{root}/incremental_raw")
+    stream_snapshots.run_snapshot_stream(spark, _feed(spark, path, "week", SPLIT_FILES), None, ["id"], _by_time(),
+                                         f"{root}/_checkpoint", newest_table=newest, late="merge")
+    return newest.read().select("id", "symbol", "name", "current_price", "market_cap_rank", "total_volume",
+                                "last_updated", "load_time")
+
+
+@query("scd2_past_loads", _history_sql("week"))
+def scd2_past_loads(spark, sf_dir):
+    """The first and the last third of the weekly loads, then those between them, which split intervals."""
+    root = _scratch(spark, "scd2_past_loads")
+    feed = _feed(spark, write_snapshots(spark, sf_dir, f"{root}/landing"), "week")
+    log = dedup.latest(feed, ["id", "load_time"], _by_time())
+    log.write.parquet(f"{root}/loads")
+    log = spark.read.parquet(f"{root}/loads")
+    weeks = [r[0] for r in log.select("load_time").distinct().orderBy("load_time").collect()]  # one row a load
+    third = max(1, len(weeks) // 3)
+    store = VersionedHistory(spark, f"{root}/scd2", "id", "name", ["id", "name", "current_price"], _by_time())
+    for part in (weeks[:third], weeks[-third:], weeks[third:-third]):
+        if part:
+            store.apply_loads(log.where(F.col("load_time").isin(part)), late="merge")
+    return store.read()
