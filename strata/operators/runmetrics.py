@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.timefns import hour_of, seconds_between
 from strata.functions.exprs import join_null_safe
-from strata.operators.sequence import over_sequence
+from strata.operators.sequence import SEG, hot_keys, with_segments
 
 # Statuses the reference counts as success.
 OK_STATUSES = ("success", "pass")
@@ -97,25 +97,33 @@ def alert_firings(history: DataFrame, rules: Sequence[Rule], metric: str = "metr
     """Samples at which a rule fires (K4).
 
     A rule fires at a sample when its condition held at every sample of the
-    metric in the last ``for_seconds`` (RANGE frame on epoch microseconds) and
-    the metric's history reaches back at least that far.
+    metric in the last ``for_seconds`` and the metric's history reaches back at
+    least that far: when the last sample at which it did not hold is older.
+
+    That time is a running maximum, which needs no copies of rows. A hot metric
+    is cut into time buckets: each bucket's own last time is folded over the
+    buckets before it, and one row per bucket carries it back, so a row is
+    shuffled once however long the rules reach.
     """
-    longest = max(r.for_seconds for r in rules)
     mine = history.where(F.col(metric).isin(*{r.metric for r in rules}))
-    first_seen = mine.groupBy(metric).agg(F.min(ts).alias("_first"))
-    order_key = F.unix_micros(F.col(ts).cast("timestamp"))
-
-    def compute(d, part):
-        out = d
-        for i, r in enumerate(rules):
-            reach = int(round(r.for_seconds * 1_000_000))
-            w = Window.partitionBy(*part).orderBy(order_key).rangeBetween(-reach, 0)
-            ok = F.coalesce(r.holds(F.col(value)), F.lit(False))
-            out = out.withColumn(f"_r{i}", (F.col(metric) == r.metric) & F.min(ok.cast("int")).over(w).cast("boolean"))
-        return out
-
-    flagged = over_sequence(mine, [metric], [ts], compute, range_before=longest, time_col=ts, hot=hot)
-    flagged = join_null_safe(flagged, first_seen, [metric])
+    if hot is True:
+        hot = hot_keys(mine, [metric], ts)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    off = {f"_r{i}": F.when(~F.coalesce(r.holds(F.col(value)), F.lit(False)) & (F.col(metric) == r.metric), at)
+           for i, r in enumerate(rules)}
+    seg = with_segments(mine.withColumns(off), [metric], ts, hot or None)
+    part = [metric, SEG]
+    summary = seg.groupBy(*part).agg(*[F.max(c).alias(c) for c in off], F.min(ts).alias("_first"))
+    w = Window.partitionBy(metric).orderBy(SEG)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*part, *[F.max(c).over(earlier).alias(f"_c{c}") for c in off],
+                           F.min("_first").over(Window.partitionBy(metric)).alias("_first"))
+    local = Window.partitionBy(*part).orderBy(at).rangeBetween(Window.unboundedPreceding, 0)
+    flagged = join_null_safe(seg.select(*part, ts, value, *[F.max(c).over(local).alias(c) for c in off]), carry, part)
+    for i, r in enumerate(rules):
+        last = F.greatest(F.col(f"_r{i}"), F.col(f"_c_r{i}"))
+        held = last.isNull() | (last < at - int(round(r.for_seconds * 1_000_000)))
+        flagged = flagged.withColumn(f"_r{i}", (F.col(metric) == r.metric) & held)
     # One pass: each sample carries the names of the rules firing at it.
     firing = [F.when(F.col(f"_r{i}") & (seconds_between("_first", ts) >= F.lit(r.for_seconds)),
                      F.lit(r.alert)) for i, r in enumerate(rules)]

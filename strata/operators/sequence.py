@@ -9,20 +9,23 @@ rows of a key into one task, so a key holding a third of the data would
 serialise a third of the job. This module keeps the plain plan for
 ordinary keys and splits hot keys:
 
-1. ``stats``: one partially aggregated pass gives rows and time span per
+1. ``hot_keys``: one partially aggregated pass gives rows and time span per
    key; keys above ``hot_rows`` are hot. Their number is at most
    ``total / hot_rows`` (a bound, checked before it is broadcast).
-2. A hot key's rows go to time segments of about ``segment_rows`` rows
-   (uniform buckets over the key's own span); other keys get segment NULL.
-3. Each segment gets copies of the rows its frames need from other
-   segments: the last ``rows_before`` rows before it and the first
-   ``rows_after`` rows after it. Candidates are the last/first rows of each
-   segment (a top-k per segment, reduced before the shuffle); the
-   segment summary, small and bounded, says which segments each one
-   reaches, so the overlap is exact even when segments are sparse.
+2. The rows of hot keys are range-partitioned by key and order and numbered in
+   their key (:func:`positions`), so bursts and rows of one timestamp are
+   spread like any others.
+3. Segments are cut by count: row ``p`` lies in segment ``p / segment_rows``,
+   and is copied into the segments whose frames reach it, which its number
+   alone tells. No segment holds more than ``segment_rows`` plus the reach of
+   the frames. Other keys get segment NULL.
 4. The caller's window expressions run over ``(key, segment)`` and the
    copies are dropped again.
 
+RANGE frames reach back in time, not in rows: for them segments are uniform
+time buckets over the key's own span (:func:`with_segments`), and rows are
+copied into the buckets their span reaches.
+
 The computation handed in (``compute``) must use only frames bounded by
 ``rows_before``/``rows_after``: ROW_NUMBER or unbounded frames would see
 segment-local positions.
@@ -30,6 +33,7 @@ segment-local positions.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -37,7 +41,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.exprs import join_null_safe, names
+from strata.functions.exprs import names
+from strata.session import scratch_path
 
 SEG = "_seg"
 OVL = "_ovl"
@@ -82,13 +87,14 @@ def time_value(df: DataFrame, col: str) -> Column:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot keys with the origin and width of their time segments.
+    """Hot keys with the rows of a segment, and the origin and width of time segments.
 
     ``small`` is true when the frame was built from at most
     ``max_hot_keys`` collected rows and may be broadcast.
     """
     frame: DataFrame
     small: bool
+    segment_rows: int = SEGMENT_ROWS
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], time_col: str,
@@ -119,8 +125,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], time_col: str,
     if not found:
         return None
     if len(found) <= max_hot_keys:
-        return HotKeys(df.sparkSession.createDataFrame(found, stats.schema), True)
-    return HotKeys(stats, False)
+        return HotKeys(df.sparkSession.createDataFrame(found, stats.schema), True, segment_rows)
+    return HotKeys(stats, False, segment_rows)
 
 
 def with_segments(df: DataFrame, keys: Sequence[str], time_col: str, hot: HotKeys | None) -> DataFrame:
@@ -154,48 +160,52 @@ def _range_overlap(seg_df: DataFrame, t: Column, span: float) -> DataFrame:
             .withColumn(SEG, F.col("_tgt")).drop("_tgt"))
 
 
-def _overlap(seg_df: DataFrame, keys: list[str], order: list[Column],
-             rows_before: int, rows_after: int) -> DataFrame | None:
-    """Copies of boundary rows into the segments whose frames reach them."""
-    part = Window.partitionBy(*keys)
-    summary = (seg_df.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_cnt")))
-    w = part.orderBy(SEG)
-    summary = summary.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    pieces = []
-    in_seg = Window.partitionBy(*keys, SEG)
-    if rows_before > 0:
-        nxt = F.collect_list(F.struct(F.col(SEG).alias("b"), F.col("_off").alias("o"))).over(
-            w.rowsBetween(1, rows_before))
-        s = summary.select(*keys, SEG, (F.col("_off") + F.col("_cnt")).alias("_end"), nxt.alias("_to"))
-        tails = (seg_df.withColumn("_j", F.row_number().over(in_seg.orderBy(*[o.desc() for o in order])))
-                 .where(F.col("_j") <= rows_before))
-        t = (join_null_safe(tails, s, [*keys, SEG])
-             .withColumn("_tgt", F.explode("_to"))
-             # rows strictly between this segment and the target
-             .where(F.col("_tgt.o") - F.col("_end") <= F.lit(rows_before) - F.col("_j"))
-             .withColumn(SEG, F.col("_tgt.b"))
-             .drop("_j", "_end", "_to", "_tgt"))
-        pieces.append(t)
-    if rows_after > 0:
-        prv = F.collect_list(F.struct(F.col(SEG).alias("b"),
-                                      (F.col("_off") + F.col("_cnt")).alias("e"))).over(
-            w.rowsBetween(-rows_after, -1))
-        s = summary.select(*keys, SEG, F.col("_off"), prv.alias("_to"))
-        heads = (seg_df.withColumn("_j", F.row_number().over(in_seg.orderBy(*order)))
-                 .where(F.col("_j") <= rows_after))
-        h = (join_null_safe(heads, s, [*keys, SEG])
-             .withColumn("_tgt", F.explode("_to"))
-             .where(F.col("_off") - F.col("_tgt.e") <= F.lit(rows_after) - F.col("_j"))
-             .withColumn(SEG, F.col("_tgt.b"))
-             .drop("_j", "_off", "_to", "_tgt"))
-        pieces.append(h)
-    if not pieces:
-        return None
-    out = pieces[0]
-    for p in pieces[1:]:
-        out = out.unionByName(p)
-    return out.withColumn(OVL, F.lit(True))
+def _hot_rows(df: DataFrame, keys: list[str], hot: HotKeys, how: str) -> DataFrame:
+    """Rows of hot keys (``left_semi``) or of the others (``left_anti``)."""
+    side = hot.frame.select(F.struct(*keys).alias("_hk"))
+    side = F.broadcast(side) if hot.small else side
+    on = F.lit(True)
+    for k in keys:
+        on = on & df[k].eqNullSafe(F.col(f"_hk.{k}"))
+    return df.join(side, on, how)
+
+
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``df`` with ``_pos``, the 0-based place of a row within its key, and
+    ``_n``, the key's rows. A key of any size is spread over tasks: the rows are
+    range-partitioned by key and order, numbered inside each partition (written
+    once to the shared scratch folder) and shifted by the rows of their key in
+    earlier partitions."""
+    keys = names(keys)
+    spark = df.sparkSession
+    by = [F.col(k).asc_nulls_first() for k in keys] + [F.asc_nulls_first(o) if isinstance(o, str) else o for o in order]
+    path = scratch_path(spark, f"sequence/{uuid.uuid4().hex}")
+    numbered = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    numbered = spark.read.schema(numbered.schema).parquet(path)
+    part = F.shiftright("_id", 33)  # the partition, by the definition of the function
+    counts = numbered.groupBy(*keys, part.alias("_part")).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_m"))
+    w = Window.partitionBy(*keys)
+    before = F.sum("_m").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = counts.select(F.struct(*keys, "_part", F.sum("_m").over(w).alias("n"),
+                                    (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("by")).alias("_s"))
+    on = part.eqNullSafe(F.col("_s._part"))
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_s.{k}"))
+    return (numbered.join(shifts, on)
+            .select(*df.columns, (F.col("_id") + F.col("_s.by")).alias("_pos"), F.col("_s.n").alias("_n")))
+
+
+def _counted_segments(df: DataFrame, keys: list[str], order: list[Column], hot: HotKeys,
+                      rows_before: int, rows_after: int) -> DataFrame:
+    """Rows of hot keys in the segments that hold them or whose frames reach them."""
+    size = hot.segment_rows
+    at = positions(_hot_rows(df, keys, hot, "left_semi"), keys, order)
+    own = F.floor(F.col("_pos") / size)
+    first = F.greatest(F.floor((F.col("_pos") - rows_after) / size), F.lit(0))
+    last = F.least(F.floor((F.col("_pos") + rows_before) / size), F.floor((F.col("_n") - 1) / size))
+    return (at.select(*df.columns, own.alias("_own"), F.explode(F.sequence(first, last)).alias(SEG))
+            .withColumn(OVL, F.col(SEG) != F.col("_own")).drop("_own"))
 
 
 def over_sequence(df: DataFrame, keys: str | Sequence[str], order: Sequence[str | Column],
@@ -206,7 +216,7 @@ def over_sequence(df: DataFrame, keys: str | Sequence[str], order: Sequence[str
     """Run ``compute(df, partition_cols)`` with windows that split hot keys.
 
     ``order`` is the ascending order inside a key (make it unique with a
-    tie-breaker); its first column (or ``time_col``) drives segmentation.
+    tie-breaker); its first column (or ``time_col``) is the time of RANGE frames.
     ``range_before`` is the reach of a RANGE frame back in time (seconds
     for time columns, else the column's units).
     ``hot=True`` detects hot keys; pass ``None``/``False`` to skip the
@@ -224,15 +234,17 @@ def over_sequence(df: DataFrame, keys: str | Sequence[str], order: Sequence[str
         # Ordinary keys: one exchange on the key; every window that
         # partitions by the key (or a superset) reuses it.
         return compute(df.repartition(*keys), keys)
-    seg_df = with_segments(df, keys, time_col, hot)
-    hot_part = seg_df.where(F.col(SEG).isNotNull())
-    extra = _overlap(hot_part, keys, order_cols, rows_before, rows_after)
+    part = [*keys, SEG]
     if range_before:
+        if rows_before or rows_after:
+            raise ValueError("a frame reaches in rows or in time, not in both")
+        seg_df = with_segments(df, keys, time_col, hot)
         span = float(range_before) * time_scale(df, time_col)
-        r = _range_overlap(hot_part, time_value(df, time_col), span).withColumn(OVL, F.lit(True))
-        extra = r if extra is None else extra.unionByName(r)
-    base = seg_df.withColumn(OVL, F.lit(False))
-    both = base if extra is None else base.unionByName(extra)
-    part = [*keys, SEG]
-    out = compute(both.drop("_min", "_width").repartition(*part), part)
+        extra = _range_overlap(seg_df.where(F.col(SEG).isNotNull()), time_value(df, time_col), span)
+        both = (seg_df.withColumn(OVL, F.lit(False)).unionByName(extra.withColumn(OVL, F.lit(True)))
+                .drop("_min", "_width"))
+    else:
+        cold = _hot_rows(df, keys, hot, "left_anti").withColumns({SEG: F.lit(None).cast("long"), OVL: F.lit(False)})
+        both = cold.unionByName(_counted_segments(df, keys, order_cols, hot, rows_before, rows_after))
+    out = compute(both.repartition(*part), part)
     return out.where(~F.col(OVL)).drop(SEG, OVL)

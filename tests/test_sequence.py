@@ -110,3 +110,30 @@ def test_null_key_can_be_hot(spark):
     assert seg.where(F.col("k").isNull() & F.col("_seg").isNotNull()).count() == 200
     split = sequence.over_sequence(df, "k", ["t", "seq"], _compute, rows_before=7, rows_after=1, hot=hot)
     assert _as_set(split) == _as_set(plain)
+
+
+def _sizes(df, part):
+    return df.groupBy(*part).count()
+
+
+@pytest.mark.parametrize("burst", ["one day and one old row", "one timestamp"])
+def test_bursts_are_cut_by_count(spark, burst):
+    """100,000 rows in a day beside one in 1970, or at one time: no segment is over twice its size."""
+    n, size = 100_000, 1_000
+    t = F.timestamp_seconds(F.lit(1_704_067_200) + (F.col("id") % 86_400 if burst.startswith("one day") else F.lit(0)))
+    df = spark.range(n).select(F.lit("hot").alias("k"), t.cast("timestamp_ntz").alias("t"), F.col("id").alias("seq"),
+                               (F.col("id") % 7).cast("double").alias("v"))
+    if burst.startswith("one day"):
+        df = df.unionByName(spark.createDataFrame([("hot", dt.datetime(1970, 1, 1), -1, 1.0)], df.schema))
+    hot = sequence.hot_keys(df, ["k"], "t", hot_rows=10_000, segment_rows=size)
+    seen = {}
+
+    def compute(d, part):
+        seen["largest"] = _sizes(d, part).agg(F.max("count")).first()[0]
+        w = Window.partitionBy(*part).orderBy("t", "seq")
+        return d.withColumn("prev", F.lag("seq").over(w)).withColumn("s", F.sum("v").over(w.rowsBetween(-49, 0)))
+
+    split = sequence.over_sequence(df, "k", ["t", "seq"], compute, rows_before=49, hot=hot)
+    assert seen["largest"] <= size + 49
+    plain = sequence.over_sequence(df, "k", ["t", "seq"], compute, rows_before=49, hot=None)
+    assert split.exceptAll(plain).count() == 0 and split.count() == plain.count()

@@ -122,3 +122,56 @@ def test_streamed_signals_equal_batch_signals(spark, scratch):
 def indicators_crossover(df, w):
     from strata.operators.indicators import crossover
     return crossover(F.col("ma_3"), F.col("ma_5"), F.lag("ma_3").over(w), F.lag("ma_5").over(w))
+
+
+def test_alert_carry_equals_the_range_frame(spark):
+    import random
+    rnd = random.Random(5)
+    base, data, t = dt.datetime(2024, 1, 1), [], 0
+    for _ in range(600):
+        t += rnd.choice([0, 1, 1, 5, 40])
+        for m in ("x", "y"):
+            data.append((m, base + dt.timedelta(seconds=t), rnd.choice([None, 1.0, 9.0, 9.0, 9.0, 9.0])))
+    hist = spark.createDataFrame(data, "metric string, ts timestamp_ntz, value double")
+    rules = [R.Rule("short", "x", ">", 5, 3), R.Rule("long", "x", ">", 0, 60), R.Rule("low", "y", "<", 5, 0)]
+    want = []
+    for r in rules:
+        mine = [(a, v) for m, a, v in data if m == r.metric]
+        ok = {">": lambda v: v > r.threshold, "<": lambda v: v < r.threshold}[r.op]
+        for a, v in mine:
+            back = [u for b, u in mine if a - dt.timedelta(seconds=r.for_seconds) <= b <= a]
+            if all(u is not None and ok(u) for u in back) and (a - mine[0][0]).total_seconds() >= r.for_seconds:
+                want.append((r.alert, r.metric, a, v))
+    from strata.operators.sequence import hot_keys
+    hot = hot_keys(hist, ["metric"], "ts", hot_rows=100, segment_rows=20)
+    for h in (None, hot):
+        assert rows(R.alert_firings(hist, rules, hot=h)) == sorted(want, key=repr)
+
+
+def test_alerts_shuffle_each_row_once(spark, scratch):
+    """86,400 samples, a rule of an hour, segments of 100 rows: no copies of rows in the plan."""
+    hist = spark.range(86_400).select(F.lit("m").alias("metric"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id")).cast(
+        "timestamp_ntz").alias("ts"), (F.col("id") % 5_000).cast("double").alias("value"))
+    from strata.operators.sequence import hot_keys
+    hot = hot_keys(hist, ["metric"], "ts", hot_rows=1_000, segment_rows=100)
+    out = R.alert_firings(hist, [R.Rule("r", "m", ">", 10, 3600)], hot=hot)
+    last, want = None, 0  # a plain scan: the last sample at which the rule does not hold
+    for i in range(86_400):
+        last = i if i % 5_000 <= 10 else last
+        want += i >= 3600 and i - last > 3600
+    assert len(out.collect()) == want
+    plan = out._jdf.queryExecution().executedPlan()
+    written = {}
+
+    def walk(node):
+        while node.nodeName() == "AdaptiveSparkPlan" or node.nodeName().endswith("QueryStage"):
+            node = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan()
+        if node.nodeName() == "Exchange":
+            m = node.metrics()
+            if m.contains("shuffleRecordsWritten"):
+                written[node.id()] = m.apply("shuffleRecordsWritten").value()
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+    walk(plan)
+    assert 86_400 <= sum(written.values()) <= 1.1 * 86_400
