@@ -302,3 +302,20 @@ def scd2_past_loads(spark, sf_dir):
         if part:
             store.apply_loads(log.where(F.col("load_time").isin(part)), late="merge")
     return store.read()
+
+
+@query("stream_ohlc_late", """
+SELECT user_id AS id, date_trunc('hour', ts) AS candle_time, arg_min(value, (ts, event_id)) AS open, max(value) AS high,
+    min(value) AS low, arg_max(value, (ts, event_id)) AS close, count(*) AS ticks
+FROM events GROUP BY ALL
+""")
+def stream_ohlc_late(spark, sf_dir):
+    """L2 with late prices: files in an order that has nothing to do with time, every price counts."""
+    root = _scratch(spark, "stream_ohlc_late")
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), F.col("ts").alias("valid_from"),
+                                              F.col("value").alias("current_price"), "event_id")
+    e.repartition(6, F.xxhash64("event_id")).write.parquet(f"{root}/landing")
+    src = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
+    store = stream_candles_mod.CandleStore(spark, f"{root}/candles", "id")
+    stream_candles_mod.run_partials(src, store, f"{root}/_checkpoint", tiebreak=["event_id"])
+    return store.candles()

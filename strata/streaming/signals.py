@@ -4,11 +4,14 @@ Row-count windows are not allowed on streaming DataFrames, so signals are
 computed per micro-batch of *closed* candles (the append output of
 :func:`strata.streaming.candles.stream_candles`). A batch needs, per key,
 only the last ``max(spans)`` candles already stored before its first new
-candle: those come from a top-k per key (reduced before the shuffle), so
-the work per batch is the batch plus a bounded tail, never the history.
-
-Each micro-batch writes its candles and signals into folders named by its
-epoch id with overwrite, so a replayed batch replaces its own output.
+candle. They are kept as a table of their own, the tails: each epoch writes the
+last candles of every key, found from the tails before it and its own candles,
+and the next one reads that folder alone. The work per batch is the batch plus
+one bounded tail per key, however many epochs there have been.
+
+Each micro-batch writes its candles, signals and tails into folders named by
+its epoch id with overwrite, the tails last, and reads the newest tails of an
+earlier epoch, so a replayed batch replaces its own output.
 """
 
 from __future__ import annotations
@@ -62,21 +65,56 @@ def foreach_signals(spark: SparkSession, root: str, key: str | Sequence[str] = "
         try:
             if new.isEmpty():
                 return
-            stored = _read(spark, f"{root}/candles", before_epoch=epoch_id)
+            stored = _tails(spark, root, epoch_id)
             sig = incremental_signals(new, stored, key, spans=spans)
             new.write.mode("overwrite").parquet(f"{root}/candles/epoch={epoch_id}")
             sig.write.mode("overwrite").parquet(f"{root}/signals/epoch={epoch_id}")
+            next_tails(new, stored, key, spans=spans).write.mode("overwrite").parquet(f"{root}/tails/epoch={epoch_id}")
+            _drop_tails(spark, root, epoch_id)
         finally:
             new.unpersist()
     return apply
 
 
-def _read(spark: SparkSession, path: str, before_epoch: int | None = None) -> DataFrame | None:
+def next_tails(new: DataFrame, stored: DataFrame | None, key: str | Sequence[str] = "id",
+               order: str = "candle_time", value: str = "close",
+               spans: Sequence[int] = indicators.DEFAULT_SPANS) -> DataFrame:
+    """The last ``max(spans)`` candles of every key (a top-k, reduced before the shuffle)."""
+    cols = [*names(key), order, value]
+    rows = new.select(*cols) if stored is None else stored.select(*cols).unionByName(new.select(*cols))
+    w = Window.partitionBy(*names(key)).orderBy(F.col(order).desc())
+    return rows.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= max(spans)).select(*cols)
+
+
+def _epochs(spark: SparkSession, path: str) -> list[int]:
+    """Epochs with a complete folder under ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    folders = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("epoch=")]
+    done = [f for f in folders if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return sorted(int(f.getName().split("=")[1]) for f in done)
+
+
+def _tails(spark: SparkSession, root: str, epoch_id: int) -> DataFrame | None:
+    """The tails of the newest epoch before ``epoch_id``."""
+    earlier = [e for e in _epochs(spark, f"{root}/tails") if e < epoch_id]
+    return spark.read.parquet(f"{root}/tails/epoch={earlier[-1]}") if earlier else None
+
+
+def _drop_tails(spark: SparkSession, root: str, epoch_id: int, keep: int = 2) -> None:
+    """Delete tails that no replay can read: the last epochs' stay."""
+    for e in [e for e in _epochs(spark, f"{root}/tails") if e <= epoch_id][:-keep]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/tails/epoch={e}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         return None
-    df = spark.read.parquet(path)
-    return df if before_epoch is None else df.where(F.col("epoch") < before_epoch).drop("epoch")
+    return spark.read.parquet(path)
 
 
 def run_signal_stream(spark: SparkSession, candles: DataFrame, root: str, checkpoint: str,

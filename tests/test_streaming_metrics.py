@@ -175,3 +175,55 @@ def test_alerts_shuffle_each_row_once(spark, scratch):
             walk(kids.apply(i))
     walk(plan)
     assert 86_400 <= sum(written.values()) <= 1.1 * 86_400
+
+
+def _ticks(spark, seed, n=400):
+    import random
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 1, 1)
+    data = [(rnd.choice([1, 2, None]), rnd.choice([None] + [base + dt.timedelta(minutes=rnd.randrange(4 * 1440))] * 9), rnd.choice([None, rnd.random()]), i)
+            for i in range(n)]
+    return data, "id long, valid_from timestamp_ntz, current_price double, event_id long"
+
+
+def test_late_prices_correct_their_candles(spark, scratch):
+    data, schema = _ticks(spark, 3)
+    for k in range(4):  # files in no order of time
+        spark.createDataFrame(data[k::4], schema).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+    store = candles.CandleStore(spark, f"{scratch}/c")
+    candles.run_partials(src, store, f"{scratch}/ck", tiebreak=["event_id"])
+    want = ohlc.candles_hourly(spark.createDataFrame(data, schema), tiebreak=["event_id"])
+    cols = ("id", "candle_time", "open", "high", "low", "close", "ticks")
+    assert rows(store.candles(), *cols) == rows(want, *cols)
+    # a replayed epoch counts nothing twice; a late price touches its own day only
+    parts = candles.partials(spark.createDataFrame(data[0::4], schema), tiebreak=["event_id"])
+    assert store.add(parts, store.commits()[0].epoch) == []
+    late = [(1, dt.datetime(2024, 1, 2, 0, 0), 9.0, -1)]
+    assert store.add(candles.partials(spark.createDataFrame(late, schema), tiebreak=["event_id"]), "more-0") == ["2024-01-02"]
+    want = ohlc.candles_hourly(spark.createDataFrame(data + late, schema), tiebreak=["event_id"])
+    assert rows(store.candles(), *cols) == rows(want, *cols)
+
+
+def test_signal_stream_reads_one_tail(spark, scratch):
+    from strata.operators import indicators
+    from strata.streaming import signals
+    base, out = dt.datetime(2024, 1, 1), []
+    for i in range(150):
+        out.append((1, base + dt.timedelta(hours=i), float((i * 37) % 11)))
+        if i % 3 == 0:
+            out.append((2, base + dt.timedelta(hours=i), float(i % 7)))
+    schema = "id long, candle_time timestamp_ntz, close double"
+    apply = signals.foreach_signals(spark, f"{scratch}/s")
+    parts = [out[k:k + 25] for k in range(0, len(out), 25)]
+    for epoch, part in enumerate(parts):
+        apply(spark.createDataFrame(part, schema), epoch)
+        if epoch == 3:  # a replay
+            apply(spark.createDataFrame(part, schema), epoch)
+    assert signals._epochs(spark, f"{scratch}/s/tails") == [len(parts) - 2, len(parts) - 1]
+    assert signals._tails(spark, f"{scratch}/s", len(parts)).count() == 2 * 50
+    got = spark.read.parquet(f"{scratch}/s/signals").drop("epoch")
+    whole = spark.createDataFrame(out, schema)
+    avg = indicators.add_moving_averages(whole, ["id"], ["candle_time"], "close")
+    want = indicators.add_signal(avg, ["id"], ["candle_time"], "ma_10", "ma_50")
+    assert rows(got, *want.columns) == rows(want)
