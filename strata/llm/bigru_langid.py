@@ -38,6 +38,11 @@ SIGNS = bytes(x for x in range(33, 127) if not chr(x).isalpha())
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    """Whether some character is a letter; number signs like ½ are none."""
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -233,12 +238,14 @@ def predict(docs: DataFrame, held_out: int = 2, folds: int = 4, id_col: str = "d
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
+        if net and net.key not in _KNOWN:
+            _KNOWN.clear()  # one model's table
         known = _KNOWN.setdefault(net.key, {}) if net else {}
         for b in batches:
             out = []
             for text in b["text"].to_pylist():
                 words = words_of(text or "")
-                if net is None or not words or not LETTER.search(text):
+                if net is None or not words or not has_letter(text):
                     out.append(("und", 0.0))
                     continue
                 if len(known) > TABLE:

@@ -38,12 +38,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from strata.llm.common import stored
+from strata.llm.hashing import BASE, mixed, runs, window_hashes, word_hashes
 
 BLOCK = 8 << 20  # bytes of text in a block
-SLICE = 1 << 20  # bytes hashed at a time
 SALTS = 64
-BASE = 0x9E3779B97F4A7C15 | 1  # odd, so that it has an inverse modulo 2^64
-INVERSE = pow(BASE, -1, 1 << 64)
 GAP, END = 32, 10  # after folding: between words, between pieces
 
 FOLD = np.arange(256, dtype=np.uint8)
@@ -59,49 +57,15 @@ PHRASES = "lang string, phrase string, times long"
 
 # --- one block, in numpy
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Spreads every input bit over the whole word."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    return x ^ (x >> np.uint64(29))
-
-
-BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
-_POWERS: list[np.ndarray] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^0 .. BASE^n and the same of its inverse."""
-    if not _POWERS or len(_POWERS[0]) <= n:
-        size = max(n + 1, SLICE + 1)
-        _POWERS[:] = [np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, b, np.uint64))]) for b in (BASE, INVERSE)]
-    return _POWERS[0], _POWERS[1]
-
-
-def polynomials(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Sum of values[i] * BASE^-(i - first) over each [first, last), from prefix sums."""
-    up, down = powers(len(values))
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * down[:len(values)])])
-    return (prefix[last] - prefix[first]) * up[first]
-
-
 class Block:
     """Words of folded bytes: where they start and end, their piece, hash and exact number."""
 
     def __init__(self, data: bytes, bits: int = 64):
         self.data = np.frombuffer(data, np.uint8)
         self.drop = np.uint64(64 - bits)
-        inside = np.concatenate([[False], (self.data != GAP) & (self.data != END), [False]])
-        edge = np.flatnonzero(inside[1:] != inside[:-1])
-        self.start, self.end = edge[::2], edge[1::2]
+        self.start, self.end = runs((self.data != GAP) & (self.data != END))
         self.piece = np.searchsorted(np.flatnonzero(self.data == END), self.start)
-        self.hash = np.empty(len(self.start), np.uint64)
-        at = 0
-        while at < len(self.start):  # whole words, about SLICE bytes of them
-            base = self.start[at]
-            to = max(at + 1, int(np.searchsorted(self.end, base + SLICE, "right")))
-            part = BYTES[self.data[base:self.end[to - 1]]]
-            self.hash[at:to] = mixed(polynomials(part, self.start[at:to] - base, self.end[at:to] - base)) >> self.drop
-            at = to
+        self.hash = word_hashes(self.data, self.start, self.end) >> self.drop
         self.number = self._numbers()
 
     def word(self, i: int) -> bytes:
@@ -128,8 +92,7 @@ class Block:
 
     def keys(self, n: int, seed: int) -> np.ndarray:
         """The fingerprint of the ``n`` words from each word on."""
-        at = np.arange(max(len(self.start) - n + 1, 0))
-        sums = polynomials(self.hash, at, at + n)
+        sums = window_hashes(self.hash, n)
         return (mixed(sums + np.uint64((seed + n * BASE) % (1 << 64))) >> self.drop).view(np.int64)
 
     def fits(self, n: int) -> np.ndarray:

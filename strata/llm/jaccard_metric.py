@@ -11,8 +11,10 @@ each and are never expanded into pairs.
 
 Most documents are at distance 1 from any pivot that isn't a copy of them.
 The coarsest level therefore takes single shingles as pivots, in one order of
-all shingles (rare ones first): a document lies in the windows of its first
-n - ceil(t n) + 1 shingles, and sets with J >= t share one of those. The
+all shingles (once-found ones first, then by the number of their texts; those
+that are not counted stand between rare and frequent ones): a document lies in
+the windows of its first n - ceil(t n) + 1 shingles, and sets with J >= t share
+one of those. The
 connected groups of these regions hold all links. A group of up to ``limit``
 shingles joins in one task around document pivots; a larger one is first cut
 by Voronoi rounds in Spark, in salted blocks of bounded size. A region that
@@ -21,14 +23,13 @@ no round makes smaller is joined block by block.
 Defined results: a set is the distinct ``width``-word shingles; with fewer
 words, the whole sequence as one; without words, or text, empty and linked
 with nothing. Rows with the same doc_id count as one document whose texts are
-linked. A NULL doc_id never names a component: such a row gets the smallest
+linked; each of its different texts is a node of its own. A NULL doc_id never names a component: such a row gets the smallest
 doc_id it reaches, else NULL. Shingles are compared by 64-bit hashes. An empty
 table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -39,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored, texts
+from strata.llm.hashing import runs, window_hashes, word_hashes
 
 WIDTH = 5
 NUMBER, OF = 75, 100  # the threshold as a fraction
@@ -47,24 +49,13 @@ PIVOTS = 16  # of a region and round
 HEAVY = 1 << 21  # at most so many frequent shingles are sent to all tasks (24 MB)
 MARKS, BITS = 1 << 23, 27  # at most so many repeated shingles are marked in a bitmap of 2^BITS (16 MB)
 SENT = 1 << 18  # up to so many candidates are sent to the texts (12 MB), instead of dealing all texts out
-COUNTED = 3  # the order starts with one shingle in so many; those are counted
+COUNTED = 2  # one shingle in so many is counted
+UNCOUNTED = 10  # the others stand where shingles of so many texts do in the order
+READ = 1 << 20  # bytes of text whose shingles are made at a time
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-class _Words(dict):
-    """64-bit hashes of words, remembered up to a number."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        self[word] = made = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest())
-        return made
-
-
-_WORDS = _Words()
-
-
 @np.errstate(over="ignore")
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _MIX[0]
@@ -72,18 +63,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[ord("A"):ord("Z") + 1] += 32
+BLANK = np.zeros(256, bool)
+BLANK[[32, *range(9, 14)]] = True
+
+
+def shingle_sets(texts: list[str], width: int = WIDTH) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its shingles."""
+    raw = [t.encode() for t in texts]
+    out, at = [], 0
+    while at < len(raw):  # texts of about READ bytes at a time
+        to, size = at, 0
+        while to < len(raw) and (to == at or size + len(raw[to]) <= READ):
+            size += len(raw[to]) + 1
+            to += 1
+        out += _sets(raw[at:to], width)
+        at = to
+    return out
+
+
+def _sets(raw: list[bytes], width: int) -> list[np.ndarray]:
+    data = FOLD[np.frombuffer(b"\n".join(raw), np.uint8)]
+    start, end = runs(~BLANK[data])
+    words = word_hashes(data, start, end)
+    border = np.searchsorted(start, np.cumsum([len(r) + 1 for r in raw]))  # each text's last word, exclusive
+    windows = mix(window_hashes(words, width) + np.uint64(width))
+    out, first = [], 0
+    for last in border.tolist():
+        n = last - first
+        if n >= width:
+            out.append(np.unique(windows[first:last - width + 1]))
+        else:
+            out.append(mix(window_hashes(words[first:last], n) + np.uint64(n)) if n else np.empty(0, np.uint64))
+        first = last
+    return out
+
+
 def shingles(text: str, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
-    words = text.encode().lower().split()  # of bytes: ASCII letters and white space only
-    if not words:
-        return np.empty(0, np.uint64)
-    each = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    n = min(width, len(words))
-    out, factor = np.full(len(words) - n + 1, n, np.uint64), _MIX[0]
-    for k in range(n):
-        out += each[k:len(words) - n + 1 + k] * factor
-        factor = mix(factor ^ _MIX[3]) | np.uint64(1)
-    return np.unique(mix(out))
+    return shingle_sets([text], width)[0]
+
+
+def _slices(b: pa.RecordBatch, size: int = 512) -> Iterator[pa.RecordBatch]:
+    for at in range(0, b.num_rows, size):
+        yield b.slice(at, size)
 
 
 def prefix_size(n: int, t: Fraction) -> int:
@@ -233,10 +257,9 @@ def _read(docs: DataFrame, width: int) -> DataFrame:
                         ("shingle", pa.int64()), ("n", pa.int64())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in _slices(whole)):
             size, sign, part = [], [], [np.empty(0, np.uint64)]
-            for text in b["text"].to_pylist():
-                s = shingles(text, width)
+            for s in shingle_sets(b["text"].to_pylist(), width):
                 size.append(len(s))
                 sign.append(np.bitwise_xor.reduce(s).tobytes() + mix(s ^ _MIX[1]).sum(dtype=np.uint64).tobytes())
                 part.append(s[s % np.uint64(COUNTED) == 0])
@@ -264,10 +287,9 @@ def _prefixes(docs: DataFrame, heavy, width: int, t: Fraction) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often, marks = heavy.value
         met: set[int] = set()
-        for b in batches:
+        for b in (part for whole in batches for part in _slices(whole)):
             found, nodes = [], []
-            for node, text in zip(b["node"].to_pylist(), b["text"].to_pylist(), strict=True):
-                s = shingles(text, width)
+            for node, s in zip(b["node"].to_pylist(), shingle_sets(b["text"].to_pylist(), width), strict=True):
                 if not len(s):
                     continue
                 sign = hash((len(s), int(np.bitwise_xor.reduce(s)), int(s.sum(dtype=np.uint64))))
@@ -276,7 +298,7 @@ def _prefixes(docs: DataFrame, heavy, width: int, t: Fraction) -> DataFrame:
                 if len(met) < 200_000:
                     met.add(sign)
                 k = prefix_size(len(s), t)
-                group = np.where(s % np.uint64(COUNTED) == 0, 0, 1)
+                group = np.where(s % np.uint64(COUNTED) == 0, 0, UNCOUNTED)
                 if marks is not None:
                     at = s & np.uint64((1 << BITS) - 1)
                     twice = marks[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1
@@ -306,7 +328,7 @@ def _joined(grouped: DataFrame, width: int, t: Fraction) -> DataFrame:
 
         def join() -> None:
             if len(held) > 1:
-                sets = [shingles(text, width) for _, _, text in held]
+                sets = shingle_sets([text for _, _, text in held], width)
                 work = Join(Sets(sets), t)
                 everyone = np.arange(len(sets))
                 work.run(everyone, np.array([home for _, home, _ in held]))
@@ -353,7 +375,7 @@ def _round(part: DataFrame, width: int, t: Fraction, pivots: int, limit: int) ->
         eps, out = 1 - float(t) + 1e-9, []
         if not len(docs) or not len(pivots):
             return pd.DataFrame({"region": [], "pivot": [], "node": [], "d": [], "own": [], "n_shingles": []})
-        sets = Sets([shingles(x, width) for x in [*pivots["text"], *docs["text"]]])
+        sets = Sets(shingle_sets([*pivots["text"], *docs["text"]], width))
         members = np.arange(len(pivots), len(sets.size))
         far = []
         for p in range(len(pivots)):
@@ -419,8 +441,16 @@ def components(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] =
     """(doc_id, n_shingles, component_id): one row per row of ``docs``."""
     spark, t = docs.sparkSession, Fraction(*threshold)
     d = texts(docs, id_col, text_col)
-    # a row without an id stands for its text
-    d = d.withColumn("node", F.coalesce("doc_id", F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63)))))
+    # a row without an id, or of an id with several texts, stands for its text
+    several = stored(d.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high")).where("low <> high").select("doc_id"), "several")
+    own = F.xxhash64("doc_id", "text").bitwiseOR(F.lit(-(1 << 63)))
+    repeated = not several.isEmpty()
+    if repeated:
+        d = d.join(several.withColumn("several", F.lit(True)), "doc_id", "left").select(
+            "doc_id", "text", F.when(F.col("doc_id").isNull() | F.col("several"), own).otherwise(F.col("doc_id")).alias("node"))
+    else:
+        d = d.withColumn("node", F.coalesce("doc_id", own))
     read = stored(_read(d, width), "sets")
     meta = read.where("shingle IS NULL").drop("shingle", "n")
     counted = read.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -460,6 +490,10 @@ def components(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] =
     one = members.select("node", "text")
     links = [copies, _joined(members.where(F.col("size") <= limit), width, t)]
     links += _large(members.where(F.col("size") > limit).select("region", "node", "home", "n_shingles"), one, width, t, limit, pivots)
+    if repeated:  # the texts of one id are linked
+        same = full.join(several, "doc_id").select("doc_id", "node")
+        links.append(same.join(same.groupBy("doc_id").agg(F.min("node").alias("first")), "doc_id")
+                     .where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")))
     every = links[0]
     for part in links[1:]:
         every = every.union(part)

@@ -39,7 +39,7 @@ from strata.llm.common import texts
 
 LEAF = 32_768  # characters of a leaf
 MARGIN = 4  # tokens that agree on each side of a join
-PIECES, WORDS = 300_000, 700_000  # remembered per worker; only speed depends on it
+PIECES, WORDS = 100_000, 150_000  # remembered in a task (about 60 MB); only speed depends on it
 # The pipeline for which pieces go straight to the model.
 NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -123,6 +123,11 @@ class Bpe:
                 known[w] = array("i", [t.id for t in self.model.tokenize(w)]).tobytes()
         return b"".join(map(known.__getitem__, words))
 
+    def forget(self) -> None:
+        """Drop what a task remembered: workers live on."""
+        self.known.clear()
+        self.words.clear()
+
     def decode(self, ids: np.ndarray) -> str:
         if self.glue is None:
             return self.lib.decode(ids.tolist(), skip_special_tokens=False)
@@ -200,6 +205,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, leaf: int = LEAF, margin:
             for at in range(0, b.num_rows, 500):  # bounds what is encoded at a time
                 part = b.slice(at, 500)
                 yield _rows(part["doc_id"].to_pylist(), [enc.encode(x) for x in part["text"].to_pylist()], enc)
+        enc.forget()
 
     # A row's own key: repeated rows and NULL ids stay apart.
     long = d.where(F.length("text") > leaf).withColumn("row", F.expr("uuid()"))
@@ -217,6 +223,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, leaf: int = LEAF, margin:
                 yield pa.RecordBatch.from_pylist([row | {"ids": ids.tolist(), "start": start.tolist()}], schema=pa.schema(
                     [("doc_id", pa.int64()), ("row", pa.string()), ("i", pa.int32()), ("text", pa.string()),
                      ("ids", pa.list_(pa.int32())), ("start", pa.list_(pa.int64()))]))
+        enc.forget()
 
     def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         enc = bpe(vocabulary)

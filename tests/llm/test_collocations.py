@@ -11,6 +11,7 @@ import pytest
 from conftest import SF_SMALL
 
 from strata.llm import collocations as C
+from strata.llm import hashing as H
 from strata.llm.common import table
 
 COLUMNS = "doc_id long, text string, lang string, phrase string, key long, block long, a long, n long, rank string, score double"
@@ -109,8 +110,8 @@ def test_polynomials_do_not_depend_on_the_place():
     assert keys[0] == keys[2] == keys[5] and len(set(keys.tolist())) == 4
     assert block.fits(2).tolist() == [True, False, True, True, True, True]
     values = np.arange(1, 6, dtype=np.uint64)
-    whole = sum(int(v) * pow(C.INVERSE, i, 1 << 64) for i, v in enumerate(values[2:5])) % (1 << 64)
-    assert int(C.polynomials(values, np.array([2]), np.array([5]))[0]) == whole
+    whole = sum(int(v) * pow(H.INVERSE, i, 1 << 64) for i, v in enumerate(values[2:5])) % (1 << 64)
+    assert int(H.polynomials(values, np.array([2]), np.array([5]))[0]) == whole
 
 
 def test_a_count_beyond_its_bits_is_several_rows(monkeypatch):

@@ -458,3 +458,24 @@ def test_broken_archives_raise():
     for bad in (good[:-1], good.replace(b"body", b"bodx"), good.replace(b"Content-Length: 4", b"Content-Length: 3"), b"HTTP/1.1 200\r\n\r\n"):
         with pytest.raises(ValueError):
             warc_zstd.parse(bad)
+
+
+def test_an_id_with_two_texts_keeps_all_links(spark):
+    one, two = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(5, one), (5, two), (1, one), (9, two.replace("b59", "zz")), (7, "other words that stand alone here"), (5, two), (6, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted({(r.doc_id, r.component_id) for r in jaccard_metric.components(docs).collect()})
+    assert got == [(1, 1), (5, 1), (6, 6), (7, 7), (9, 1)]
+
+
+def test_shingle_sets_do_not_depend_on_their_neighbours():
+    texts = ["", "A b\tc d E f", "one two", " \n", "a b c d e f", "x " * 300_000, "ÄÖ É b c d e", "one  TWO"]
+    each = [jaccard_metric.shingle_sets([t])[0] for t in texts]
+    together = jaccard_metric.shingle_sets(texts)
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(each, together, strict=True))
+    assert (each[1] == each[4]).all() and (each[2] == each[7]).all()
+    assert [len(x) for x in each] == [0, 2, 1, 0, 2, 1, 2, 1]
+
+
+def test_number_signs_are_no_letters():
+    assert not bigru_langid.has_letter("½ ² Ⅷ 12 _") and bigru_langid.has_letter("½ é") and not bigru_langid.has_letter("")
