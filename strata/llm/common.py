@@ -15,7 +15,15 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH = 1000  # rows with whole texts that go to a Python worker at a time
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Rows hold whole texts, so where the session doesn't say how
+    many go to Python at a time, they are fewer than Spark's 10,000."""
+    if spark.conf.get(ARROW_ROWS, None) is None:
+        spark.conf.set(ARROW_ROWS, str(BATCH))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
