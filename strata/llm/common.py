@@ -38,11 +38,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: a cut of the
-    lineage that survives lost executors."""
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
+    """``df`` written once (with the writer's ``options``) to the shared folder and
+    read back: a cut of the lineage that survives lost executors."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -144,9 +144,9 @@ def brute_ppm(train, text, order):
             seen = {s: n for s, n in counts.get(raw[i - k:i], {}).items() if s not in gone}
             if not seen:
                 continue
-            whole = sum(seen.values()) + len(seen)
+            whole = 2 * sum(seen.values())  # escape method D
             if raw[i] in seen:
-                total, coded = total + math.log10(seen[raw[i]] / whole), True
+                total, coded = total + math.log10((2 * seen[raw[i]] - 1) / whole), True
                 break
             total += math.log10(len(seen) / whole)
             gone |= seen.keys()
@@ -160,7 +160,8 @@ def test_ppm_matches_brute_force(spark):
     rows = [(i, "".join(rng.choices(["the ", "cat", " on", "ñ", "x\n", "A"], k=rng.randint(0, 12)))) for i in range(60)] + [(99, None), (None, "the")]
     rows += [rows[3]]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = ppm.score(docs, order=3, block=60).collect()
+    order = 5
+    got = ppm.score(docs, order=order, block=60, buckets=7).collect()
     out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
     train = [(t or "").encode() for i, t in rows if not out(i)]
     words = Counter(w for t in train for w in WORD.findall(low(t.decode())))
@@ -173,10 +174,28 @@ def test_ppm_matches_brute_force(spark):
         tokens = WORD.findall(low(text)) + ["end of text"]
         base = sum(math.log10((words[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens)
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out(r.doc_id), len(tokens), sum(words[w] > 0 for w in tokens), n)
-        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(brute_ppm(train, text.encode(), 3))
+        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(brute_ppm(train, text.encode(), order), rel=1e-6)
     assert ppm.score(docs.limit(0)).count() == 0
     alone = ppm.score(spark.createDataFrame([(None, "ab")], "doc_id long, text string")).first()
     assert alone.score == pytest.approx(-3 * math.log10(257)) and alone.train_tokens == 0
+    for short in (0, 1, 3):  # contexts no longer than those that a bucket shares
+        for r in ppm.score(docs, order=short, block=60, buckets=7).collect():
+            assert r.score == pytest.approx(brute_ppm(train, (text_of[r.doc_id] or "").encode(), short), rel=1e-6)
+
+
+def test_ppm_beats_its_base_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = ppm.score(docs).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert held["sum(score)"] > held["sum(base_score)"]
+
+
+def test_ppm_long_text_and_clashing_columns(spark):
+    long = "über den Wolken 長い " * 60_000
+    docs = spark.createDataFrame([(1, long, 0, "x"), (2, long[:40], 1, "y"), (3, "", 2, None)],
+                                 "doc_id long, text string, block int, score string")
+    got = {r.doc_id: r for r in ppm.score(docs, block=1 << 16).collect()}
+    assert set(got) == {1, 2, 3} and got[1].n_tokens == len(WORD.findall(long)) + 1
+    assert got[1].score < got[2].score < 0
 
 
 # --- op4
