@@ -59,10 +59,11 @@ HELD = "block long, bucket int, strings binary, words binary, counts binary, key
 def strings(texts: list[bytes], order: int) -> np.ndarray:
     """The key of each symbol with its whole context: the bytes in an integer,
     led by a 1 that marks their number."""
-    raw = np.frombuffer(b"".join(START * order + t + END for t in texts), np.uint8).astype(np.int64)
+    raw = np.frombuffer(b"".join(START * order + t + END for t in texts), np.uint8)
     key = np.full(max(len(raw) - order, 0), 1, np.int64)
     for k in range(order + 1):
-        key = key << 8 | raw[k:len(raw) - order + k]
+        key <<= 8
+        key |= raw[k:len(raw) - order + k]
     ends = np.cumsum(np.array([len(t) + 1 + order for t in texts], np.int64))[:-1]  # windows that reach into the next text
     keep = np.ones(len(key), bool)
     drop = (ends[:, None] - order + np.arange(order)).ravel()
@@ -182,8 +183,11 @@ class Block:
         self.tally()
         key, n = added(np.concatenate([k for k, _ in self.grams]), np.concatenate([c for _, c in self.grams]))
         self.grams = []
-        bucket, key = bucket_of(key, self.low, self.buckets), turned(key, self.order)
-        by = np.lexsort((key, bucket))
+        key = turned(key, self.order)
+        by = np.argsort(key)
+        key, n = key[by], n[by]
+        bucket = bucket_of(turned(key, self.order), self.low, self.buckets)
+        by = np.argsort(bucket.astype(np.uint16) if self.buckets <= 1 << 16 else bucket, kind="stable")
         return key[by], n[by], bucket[by]
 
     def words(self) -> list[tuple[int, list[bytes]]]:
@@ -313,7 +317,7 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.keys, self.values = keys, values
-        self.shift = np.uint64(64 - max(int(2 * max(len(keys), 1)).bit_length(), 4))
+        self.shift = np.uint64(64 - max(int(4 * max(len(keys), 1)).bit_length(), 4))
         self.held = np.zeros(1 << int(64 - int(self.shift)), np.int32)
         self.held[self.slot(keys)] = np.arange(len(keys), dtype=np.int32)
 
@@ -336,13 +340,13 @@ def score_block(docs: pd.DataFrame, rows: pd.DataFrame, order: int, low: int, bu
         texts_ += cut(data, list(lengths))
         held_out += [bool(x) for x in h]
     for text in texts_:
-        block.add(text, True)
+        block.add(text, False)  # in which texts the strings occur makes no difference here
     rows = rows.sort_values("bucket")
-    unknown = np.log10(0.1 / (tokens + 0.1 * (kinds + 1)))
     found = rows["totals"].dropna()
     totals = np.concatenate([unpacked(x, "<i8") for x in found]) if len(found) else np.empty(0, np.int64)
-    logs = np.log10((totals + 0.1) / (tokens + 0.1 * (kinds + 1))).tolist()
-    log = {w: x for w, x, n in zip((w for _, part in block.words() for w in part), logs, totals.tolist(), strict=True) if n}
+    words = [w for _, part in block.words() for w in part]
+    log = dict(zip(words, np.log10((totals + 0.1) / (tokens + 0.1 * (kinds + 1))).tolist(), strict=True))
+    unknown = {w for w, n in zip(words, totals.tolist(), strict=True) if not n}
     end = float(np.log10((ends + 0.1) / (tokens + 0.1 * (kinds + 1))))
     grams = rows[rows["lengths"].notna()]
     key = turned(block.strings()[0], order)
@@ -356,10 +360,9 @@ def score_block(docs: pd.DataFrame, rows: pd.DataFrame, order: int, low: int, bu
         scores.extend(np.add.reduceat(lookup(strings(held, order)), starts))
         held.clear()
     for raw in texts_:
-        found = [log.get(t) for t in raw.lower().split()]
-        known = [x for x in found if x is not None]
-        base.append((len(found) + 1, len(known) + (ends > 0), tokens,
-                     sum(known) + unknown * (len(found) - len(known)) + end))
+        own = raw.lower().split()
+        known = len(own) - sum(map(unknown.__contains__, own)) if unknown else len(own)
+        base.append((len(own) + 1, known + (ends > 0), tokens, sum(map(log.__getitem__, own)) + end))
         held.append(raw)
         size += len(raw)
         if size >= SLICE:
