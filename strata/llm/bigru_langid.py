@@ -5,7 +5,10 @@ with a distribution over languages; a text's is the mean over all positions
 of its words. It is trained in numpy by backpropagation through time (Adam,
 cross entropy at every position) on words of a bounded sample of labelled texts,
 chosen by the hash of their id: of each language an equal part of ``SAMPLE``, but
-``LEAST`` at least, and of each text up to ``CHARS`` characters. The state starts anew at each word, so equal words have
+``LEAST`` at least. A text of more than ``CHARS`` characters gives ``DRAWN`` windows
+from all over it, each at a hashed place of its equal part. Words are read in pieces
+of up to ``LONGEST`` bytes, cut at characters, in training as in prediction. The
+state starts anew at each piece (no context reaches over words), so equal words have
 equal labels: a bounded table per worker holds what the network said of them.
 
 Every language with a word to learn from is learned, however rare; beyond
@@ -23,13 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from strata.llm.common import fold_of
 
 SAMPLE, CHARS, LEAST = 4_000, 4_000, 16  # 16 MB of text at the driver, beyond 250 languages 64 kB for each
+DRAWN = 8  # windows of a long text, CHARS characters in all
 WIDTH, EMBED, LONGEST = 16, 16, 24  # state, embedding, bytes read at a time
 STEPS, BATCH, RATE = 500, 128, 0.01
 MANY = 16  # languages that STEPS suffice for
@@ -43,6 +47,18 @@ def has_letter(text: str) -> bool:
     return any(m[0].isalpha() for m in LETTER.finditer(text))
 
 
+def pieces(word: bytes) -> list[bytes]:
+    """The word in parts of up to ``LONGEST`` bytes, no character cut."""
+    out = []
+    while len(word) > LONGEST:
+        end = LONGEST
+        while end > LONGEST - 4 and word[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(word[:end])
+        word = word[end:]
+    return [*out, word] if word else out
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -137,7 +153,7 @@ class Model:
 
     def positions(self, words: list[bytes]) -> list[np.ndarray]:
         """Probabilities (position, language) of every byte of each word."""
-        parts = [(i, w[at:at + LONGEST]) for i, w in enumerate(words) for at in range(0, len(w), LONGEST)]
+        parts = [(i, p) for i, w in enumerate(words) for p in pieces(w)]
         out: list[list[np.ndarray]] = [[] for _ in words]
         parts.sort(key=lambda p: len(p[1]))
         done: dict[tuple[int, int], np.ndarray] = {}
@@ -155,8 +171,7 @@ class Model:
 
 def sums(model: Model, words: list[bytes]) -> np.ndarray:
     """The probabilities of each word's positions, added up."""
-    parts = sorted(((i, w[at:at + LONGEST]) for i, w in enumerate(words) for at in range(0, len(w), LONGEST)),
-                   key=lambda p: len(p[1]))
+    parts = sorted(((i, p) for i, w in enumerate(words) for p in pieces(w)), key=lambda p: len(p[1]))
     out = np.zeros((len(words), len(model.langs)), np.float32)
     for at in range(0, len(parts), 1024):
         some = parts[at:at + 1024]
@@ -187,7 +202,7 @@ def train(samples: list[tuple[str, str]], steps: int = STEPS, seed: int = 7) ->
     """A network trained on (language, text) samples, languages balanced."""
     words: dict[str, list[bytes]] = {}
     for lang, text in samples:
-        if held := [w[:LONGEST] for w in words_of(text)]:
+        if held := [p for w in words_of(text) for p in pieces(w)]:
             words.setdefault(lang, []).extend(held)
     langs = sorted(words)
     if not langs:
@@ -208,6 +223,22 @@ def train(samples: list[tuple[str, str]], steps: int = STEPS, seed: int = 7) ->
     return model
 
 
+def drawn(text: Column, key: Column) -> Column:
+    """A text of up to ``CHARS`` characters as it is; of a longer one ``DRAWN``
+    windows, one at a hashed place of each equal part, without the words that
+    their ends cut (a window without white space stays whole)."""
+    size = CHARS // DRAWN
+
+    def window(i: Column) -> Column:
+        start = F.floor(i * F.length(text) / DRAWN)
+        room = F.floor((i + 1) * F.length(text) / DRAWN) - start - size + 1
+        part = F.substring(text, (start + F.pmod(F.xxhash64(key, i), room) + 1).cast("int"), F.lit(size))
+        inner = F.regexp_extract(part, r"(?s)^\S*\s+(.*\s)\S*$", 1)
+        return F.when(F.trim(inner) != "", inner).otherwise(part)
+    return F.when(F.length(text) <= CHARS, text).otherwise(
+        F.array_join(F.transform(F.sequence(F.lit(0), F.lit(DRAWN - 1)), window), "\n"))
+
+
 def sample(docs: DataFrame, learn, bound: int = SAMPLE) -> list[tuple[str, str]]:
     """(lang, text) of an equal number of texts of every language, chosen by the
     hash of their id: ``bound`` in all, but ``LEAST`` a language at least."""
@@ -223,7 +254,7 @@ def sample(docs: DataFrame, learn, bound: int = SAMPLE) -> list[tuple[str, str]]
     ids = first(labelled.select("lang", "doc_id")).distinct().withColumnsRenamed({"lang": "of", "doc_id": "id"})
     # an id may be repeated, so the texts are counted again
     texts = first(labelled.join(F.broadcast(ids), (F.col("lang") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
-                  .select("lang", "doc_id", F.substring("text", 1, CHARS).alias("text")))
+                  .select("lang", "doc_id", drawn(F.col("text"), F.col("doc_id")).alias("text")))
     return [(r["lang"], r["text"]) for r in texts.sort("lang", F.xxhash64("doc_id"), "doc_id", "text").collect()]
 
 

@@ -7,25 +7,28 @@ out still shares most of them. Nyström landmarks, insults and ordinary words
 found in the training texts, give each window a vector K(x, L) K(L, L)^-1/2;
 on these a linear SVM is trained (hinge loss, averaged subgradient steps) as a
 latent one: a text is as toxic as its worst window, which is sought anew in
-every round, in sentences of toxic texts as positive and of clean ones as
-negative. Since the kernel is a product of sparse vectors, the trained
+every round, in toxic texts as a positive example and in clean ones as a
+negative one. Since the kernel is a product of sparse vectors, the trained
 machine is one weight per subsequence: scoring a text of any length is a
-table look-up per gapped triple and a running sum, all windows included.
+table look-up per gapped triple and a running sum, all windows included, in
+slices of ``SLICE`` letters.
 
 Training texts are a bounded sample: at most ``SAMPLE`` labelled texts of each
-class, chosen by the hash of their id, and of each the first ``CHARS``
-characters. Scores are a logistic function of the worst window, fitted to the
+class, chosen by the hash of their id, and of each the whole text. They stay in
+a stored table: Spark counts their words and finds their worst windows, and
+only those windows, of a few letters each, come to the driver, which trains on
+them. Scores are a logistic function of the worst window, fitted to the
 training texts.
 
 Defined results: a NULL or empty text has the score of a text without any
-letter; repeated rows each give a row; with no labelled text of both classes
-every score is 0; an empty table gives an empty result.
+letter; repeated rows each give a row; of a repeated labelled id one text is
+learned from; with no labelled text of both classes, or no word of three
+letters in toxic ones, every score is 0; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -34,9 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import fold_of
+from strata.llm.common import fold_of, stored
 
-SAMPLE, CHARS = 2_500, 6_000  # 30 MB of text at the driver at most
+SAMPLE = 2_500  # texts of each class; a window of each comes to the driver
+SLICE = 1 << 16  # letters scored at a time
 WINDOW, SPAN, DECAY = 9, 5, 0.7
 LANDMARKS, ROUNDS, STEPS = 160, 4, 4_000
 SYMBOLS = 64
@@ -136,6 +140,41 @@ def svm(x: np.ndarray, y: np.ndarray, steps: int, rng: np.random.Generator, c: f
     return mean[:-1], float(mean[-1])
 
 
+def worst(code: np.ndarray, weight: np.ndarray) -> tuple[float, int]:
+    """The largest window of a text and its place, the first one at ties."""
+    reach = max(WINDOW - 2, 1)
+    best, place = -np.inf, 0
+    for at in range(0, max(len(code) + 1 - reach, 1), SLICE):
+        value = windows(code[at:at + SLICE + reach + SPAN], weight)[:SLICE]
+        k = int(value.argmax())
+        if value[k] > best:
+            best, place = float(value[k]), at + k
+    return best, place
+
+
+def logistic(z: np.ndarray, label: np.ndarray, penalty: float = 1e-4, steps: int = 60) -> tuple[float, float]:
+    """Slope and offset of the logistic function nearest to the labels: Newton
+    steps on the penalised mean loss, each halved until the loss falls, since a
+    whole one may leap to where every probability is 0 or 1 and no slope is left."""
+    x, held = np.stack([z, np.ones_like(z)], 1), np.array([1.0, 0.0])
+    ridge = np.diag([penalty, 1e-6])
+
+    def loss(v: np.ndarray) -> float:
+        t = x @ v
+        return float((np.logaddexp(0, t) - label * t).mean() + 0.5 * v @ ridge @ v)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ held, -30, 30)))
+        g = x.T @ (p - label) / len(label) + ridge @ held
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / len(label) + ridge, g)
+        part, now = 1.0, loss(held)
+        while part > 1e-9 and loss(held - part * step) > now - 1e-4 * part * (g @ step):
+            part /= 2
+        if part <= 1e-9:
+            break
+        held = held - part * step
+    return float(held[0]), float(held[1])
+
+
 class Machine:
     """The trained weights: a bounded array, the same for any corpus."""
 
@@ -143,85 +182,101 @@ class Machine:
         self.weight, self.slope, self.offset = weight, slope, offset
 
     def raw(self, text: str) -> float:
-        return float(windows(codes(text), self.weight).max(initial=0.0))
+        return max(worst(codes(text), self.weight)[0], 0.0)
 
     def score(self, text: str) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.raw(text) + self.offset, -30, 30))))
 
 
-def _parts(texts: list[str]) -> list[np.ndarray]:
-    return [codes(t) for t in texts]
+def terms(held: DataFrame) -> DataFrame:
+    """(word, bad, plain): in how many toxic and clean texts each word of three
+    letters or more stands; first letters count too: stems over all endings."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), F.lit(0)))
+
+    def stems(k: int):
+        return F.transform(F.filter("words", lambda w: F.length(w) > k), lambda w: F.substring(w, 1, k))
+    every = held.select("toxic", words.alias("words")).select(
+        "toxic", F.explode(F.array_distinct(F.concat("words", stems(4), stems(5), stems(6)))).alias("word"))
+    return every.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("plain"))
+
+
+def landmark_words(held: DataFrame, n: dict[int, int], landmarks: int) -> tuple[list[str], list[str]]:
+    """The words most peculiar to toxic texts, and the commonest that are not."""
+    odds = (F.log((F.col("bad") + 0.5) / (n[1] + 1) / ((F.col("plain") + 0.5) / (n[0] + 1))) * F.sqrt("bad"))
+    counted = stored(terms(held).withColumn("odds", odds), "terms")
 
+    def first(rows: DataFrame, order, most: int) -> list[str]:
+        return [r["word"] for r in rows.orderBy(order, "word").limit(most).collect()]
+    bad = first(counted.where("bad > 1 AND odds > 0"), F.desc("odds"), landmarks // 2)
+    bad = bad or first(counted.where("bad > 0"), F.desc("odds"), 1)
+    return bad, first(counted.where((F.length("word") <= WINDOW) & F.expr("plain > 0 AND odds <= 0")), F.desc("plain"), landmarks - len(bad))
 
-def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, rounds: int = ROUNDS, seed: int = 5) -> Machine | None:
-    """A latent SVM over windows of labelled texts."""
-    if not toxic or not clean:
+
+def worst_windows(held: DataFrame, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Sides (1 or -1), values and letters of the worst window of every text, in order of their ids."""
+    shared = held.sparkSession.sparkContext.broadcast(weight)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for text in b["text"].to_pylist():
+                code = codes(text)
+                value, at = worst(code, shared.value)
+                found.append((value, code[at:at + WINDOW + 2].astype(np.uint8).tobytes()))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.array([v for v, _ in found], pa.float64()),
+                                              pa.array([c for _, c in found], pa.binary())], names=["doc_id", "toxic", "value", "code"])
+    rows = held.select("doc_id", "toxic", "text").mapInArrow(find, "doc_id long, toxic int, value double, code binary").collect()
+    rows.sort(key=lambda r: (r["toxic"], r["doc_id"]))
+    return (np.array([1.0 if r["toxic"] else -1.0 for r in rows]), np.array([r["value"] for r in rows]),
+            [np.frombuffer(bytes(r["code"]), np.uint8).astype(np.int32) for r in rows])
+
+
+def train(held: DataFrame, landmarks: int = LANDMARKS, rounds: int = ROUNDS, seed: int = 5) -> Machine | None:
+    """A latent SVM over windows of labelled texts: (doc_id, toxic, text) rows, read once a round."""
+    n = {r["toxic"]: r["count"] for r in held.groupBy("toxic").count().collect()}
+    if not (n.get(0) and n.get(1)):
         return None
-    rng = np.random.default_rng(seed)
-    count = [Counter(), Counter()]
-    for side, texts in enumerate((clean, toxic)):
-        for t in texts:  # words and their first letters: stems count over all endings
-            words = set(re.findall(r"[^\W\d_]{3,}", t.lower()))
-            count[side].update(words | {w[:k] for w in words for k in (4, 5, 6) if len(w) > k})
-    n = len(clean), len(toxic)
-
-    def odds(w: str) -> float:
-        a, b = (count[1][w] + 0.5) / (n[1] + 1), (count[0][w] + 0.5) / (n[0] + 1)
-        return float(np.log(a / b) * np.sqrt(count[1][w]))
-    ranked = sorted((w for w in count[1] if count[1][w] > 1), key=lambda w: (-odds(w), w))
-    bad = [w for w in ranked[:landmarks // 2] if odds(w) > 0]
-    plain = sorted((w for w in count[0] if len(w) <= WINDOW and odds(w) <= 0), key=lambda w: (-count[0][w], w))[:landmarks - len(bad)]
+    bad, plain = landmark_words(held, n, landmarks)
     if not bad:
-        bad = ranked[:1]
+        return None
+    rng = np.random.default_rng(seed)
     marks = Landmarks(bad + plain)
     first = np.array([1.0] * len(bad) + [0.0] * len(plain))
     # to begin with, a window is as bad as it is like the bad landmarks
     weight = np.zeros(SYMBOLS ** 3, np.float32)
     weight[marks.keys] = np.maximum(marks.phi[first > 0].max(0) - 0.5 * marks.phi[first == 0].max(0, initial=0.0), 0)
-    held = [(1, c) for c in _parts(toxic)] + [(-1, c) for c in _parts(clean)]
     more_x, more_y = [], []
     for _ in range(rounds):
-        x, y = [], []
-        for side, code in held:
-            value = windows(code, weight)
-            at = int(value.argmax()) if len(value) else 0
-            x.append(marks.vector(code[at:at + WINDOW + 2]))
-            y.append(side)
+        y, _, found = worst_windows(held, weight)
+        x = [marks.vector(code) for code in found]
         # what a round took for the worst of clean texts stays a counterexample
         more_x, more_y = more_x + [v for v, s in zip(x, y) if s < 0], more_y + [s for s in y if s < 0]
         fixed = [marks.vector(codes(w)) for w in bad] * 3
         xs = np.array(x + fixed + more_x)
-        ys = np.array(y + [1] * len(fixed) + more_y)
+        ys = np.array([*y, *[1] * len(fixed), *more_y])
         w, _ = svm(xs, ys, STEPS, rng)
         weight = marks.weight(w)
-    raw = np.array([windows(code, weight).max(initial=0.0) for _, code in held])
-    label = np.array([(1 + s) / 2 for s, _ in held])
-    # a logistic fit over all texts: where classes overlap, the larger one wins
+    side, raw, _ = worst_windows(held, weight)
+    raw, label = np.maximum(raw, 0.0), (1 + side) / 2
+    # where classes overlap, the larger one wins
     mid, spread = np.median(raw), raw.std() or 1.0
-    slope, offset, z = 1.0, 0.0, (raw - mid) / spread
-    share = 1 / len(label)
-    for _ in range(60):  # Newton steps
-        p = 1 / (1 + np.exp(-np.clip(slope * z + offset, -30, 30)))
-        g = np.array([((p - label) * share * z).sum() + 1e-4 * slope, ((p - label) * share).sum()])
-        q = p * (1 - p) * share + 1e-9
-        h = np.array([[(q * z * z).sum() + 1e-4, (q * z).sum()], [(q * z).sum(), q.sum() + 1e-6]])
-        step = np.linalg.solve(h, g)
-        slope, offset = slope - step[0], offset - step[1]
+    slope, offset = logistic((raw - mid) / spread, label)
     return Machine(weight, float(slope / spread), float(offset - slope * mid / spread))
 
 
-def sample(docs: DataFrame, labels: DataFrame, learn, bound: int = SAMPLE) -> tuple[list[str], list[str]]:
-    """Toxic and clean training texts, at most ``bound`` of each."""
-    chosen = {}
+def sample(docs: DataFrame, labels: DataFrame, learn, bound: int = SAMPLE) -> DataFrame:
+    """(doc_id, toxic, text): whole training texts of at most ``bound`` ids a
+    class, stored; of a repeated id one text, chosen by its hash."""
+    chosen = []
     for value in (1, 0):
         ids = labels.where((F.col("toxic") == value) & learn).select("doc_id").distinct()
-        chosen[value] = [r["doc_id"] for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).collect()]
-    ids = docs.sparkSession.createDataFrame([(i, v) for v, held in chosen.items() for i in held], "doc_id long, toxic int")
+        chosen += [(r["doc_id"], value) for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).collect()]
+    spark = docs.sparkSession
+    ids = spark.createDataFrame(chosen, "doc_id long, toxic int")
     rows = (docs.where(F.length("text") > 0).join(F.broadcast(ids), "doc_id")
-            .select("toxic", F.substring("text", 1, CHARS).alias("text"), F.xxhash64("doc_id").alias("h"))
-            .orderBy("h", "text").limit(2 * bound).select("toxic", "text").toArrow())
-    both = list(zip(rows["toxic"].to_pylist(), rows["text"].to_pylist(), strict=True))
-    return [t for v, t in both if v == 1], [t for v, t in both if v == 0]
+            .groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("of"))
+            .select("doc_id", "toxic", F.col("of.text").alias("text")))
+    return stored(rows.repartition(spark.sparkContext.defaultParallelism, "doc_id"), "labelled")
 
 
 def machine(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3, id_col: str = "doc_id",
@@ -229,7 +284,7 @@ def machine(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int =
     """Trained on labels whose fold (crc32 of the id as text, modulo ``folds``) isn't ``held_out``."""
     d = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     own = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL")
-    return train(*sample(d, own, fold_of(F.col("doc_id"), folds) != held_out))
+    return train(sample(d, own, fold_of(F.col("doc_id"), folds) != held_out))
 
 
 def scores(docs: DataFrame, trained: Machine | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -355,10 +355,98 @@ def test_toxicity_held_out(spark):
     assert len(odd) == len(AWKWARD) and all(0 <= r.score <= 1 for r in odd)
     assert subseq_svm.clean(awkward(spark), None, 0.7).count() == len(AWKWARD)
     assert subseq_svm.scores(awkward(spark).limit(0), machine).count() == 0
+    nothing = subseq_svm.machine(docs.limit(0), labels.limit(0))
+    assert nothing is None and {r.score for r in subseq_svm.scores(awkward(spark), nothing).collect()} == {0.0}
+
+
+def test_toxic_words_far_into_long_texts_are_learned(spark):
+    words = [f"{a}{b}{c}" for a in ("ba", "do", "fu", "ki") for b in ("la", "ne", "so") for c in ("tra", "min", "pel")]
+    rng = random.Random(11)
+    text = lambda bad: " ".join(rng.choices(words, k=1500) + ([rng.choice(["scoundrel", "scounxdrel"])] if bad else []))
+    rows = [(i, text(i % 3 == 0), int(i % 3 == 0)) for i in range(150)]
+    assert min(t.find("scoun") for _, t, y in rows if y) > 6000
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [rows[0][:2]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(rows[0][0], 1)], "doc_id long, toxic int")
+    held = subseq_svm.sample(docs, labels, labels.doc_id.isNotNull())
+    assert sorted((r.doc_id, r.toxic, r.text) for r in held.collect()) == sorted((i, y, t) for i, t, y in rows)
+    machine = subseq_svm.machine(docs, labels)
+    held_out = [(y, machine.score(t)) for i, t, y in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum((s >= 0.7) == bool(y) for y, s in held_out) >= 0.97 * len(held_out)
+
+
+@pytest.mark.parametrize("gap", [0.0, 1.0, 20.0, 400.0])
+def test_logistic_fit_reaches_its_minimum(gap):
+    rng = np.random.default_rng(3)
+    label = np.repeat([0.0, 1.0], [2000, 250])
+    z = rng.normal(size=len(label)) + gap * label
+    z = (z - np.median(z)) / z.std()
+    held = subseq_svm.logistic(z, label)
+
+    def loss(slope, offset):
+        t = slope * z + offset
+        return (np.logaddexp(0, t) - label * t).mean() + 0.5e-4 * slope ** 2 + 0.5e-6 * offset ** 2
+    best = loss(*held)
+    assert all(best <= loss(held[0] + a, held[1] + b) + 1e-9 for a in (-0.1, 0, 0.1) for b in (-0.1, 0, 0.1))
+    if gap >= 20:
+        assert all((1 / (1 + np.exp(-(held[0] * z + held[1]))) >= 0.7) == (label > 0))
+
+
+def test_toxicity_of_the_given_labels(spark):
+    docs, labels = small(spark, "documents"), small(spark, "labels")
+    got = {r.doc_id: r.predicted for r in queries.op7_subseq_svm(spark, SF_SMALL).where("held_out").collect()}
+    held = [(r.toxic, got[r.doc_id]) for r in labels.collect() if r.doc_id in got]
+    assert not [1 for y, p in held if p and not y]
+    assert docs.count() >= len(got) > 0
+
+
+def test_counts_of_landmark_words(spark):
+    rows = [(1, 1, "Scoundrel, scoundrel abc"), (2, 1, "scoundrels 12 ab"), (3, 0, "abc ÄBCD x")]
+    got = {r.word: (r.bad, r.plain) for r in subseq_svm.terms(spark.createDataFrame(rows, "doc_id long, toxic int, text string")).collect()}
+    assert got == {"scoundrel": (1, 0), "scoundrels": (1, 0), "scou": (2, 0), "scoun": (2, 0), "scound": (2, 0), "abc": (1, 1), "äbcd": (0, 1)}
+
+
+@pytest.mark.parametrize("size", [0, 2, 30, 500])
+def test_scores_of_every_window_by_brute_force(size, monkeypatch):
+    monkeypatch.setattr(subseq_svm, "SLICE", 16)
+    rng = random.Random(size)
+    weight = np.random.default_rng(size).normal(size=subseq_svm.SYMBOLS ** 3).astype(np.float32)
+    code = subseq_svm.codes("".join(rng.choices("abcdé f", k=size)))
+    starts = max(len(code) + 1 - (subseq_svm.WINDOW - 2), 1)
+    values = []
+    for at in range(starts):
+        value = 0.0
+        for i in range(at, min(at + subseq_svm.WINDOW - 2, len(code))):
+            for a, b, w in subseq_svm.TRIPLES:
+                if i + b < len(code):
+                    value += w * weight[(code[i] * 64 + code[i + a]) * 64 + code[i + b]]
+        values.append(value)
+    got, at = subseq_svm.worst(code, weight)
+    assert got == pytest.approx(max(values), abs=1e-4) and values[at] == pytest.approx(max(values), abs=1e-4)
 
 
 # --- op8
 
+def test_words_are_cut_at_characters_and_windows_come_from_the_whole_text(spark):
+    import pyspark.sql.functions as F
+    for word in (b"", b"a" * 24, b"b" * 25, ("\u20ac" * 30).encode(), ("a" + "\U0001f600" * 20).encode()):
+        parts = bigru_langid.pieces(word)
+        assert b"".join(parts) == word and all(0 < len(p) <= bigru_langid.LONGEST and p.decode() for p in parts)
+    words = [f"w{i}" for i in range(20_000)]
+    rows = [(1, " ".join(words)), (2, "x" * 5_000), (3, "short text"), (4, "y" * 4_001)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.t for r in d.select("doc_id", bigru_langid.drawn(F.col("text"), F.col("doc_id")).alias("t")).collect()}
+    held = got[1].split()
+    assert set(held) <= set(words) and len(got[1]) <= bigru_langid.CHARS + bigru_langid.DRAWN
+    place = [int(w[1:]) for w in held]
+    assert place == sorted(place) and place[0] < 2_500 + 100 and place[-1] > 17_000
+    assert got[2].replace("\n", "") == "x" * 4_000 and got[3] == "short text" and got[4].replace("\n", "") == "y" * 4_000
+    line = spark.createDataFrame([(i, c * 5_000, c) for i, c in enumerate("ab" * 8)], "doc_id long, text string, lang string")
+    assert all(r.lang_pred == "ab"[r.doc_id % 2] for r in bigru_langid.predict(line, held_out=9).collect())
+    odd = spark.createDataFrame([(1, "\u00bd \u00b2"), (2, "")], "doc_id long, text string").withColumn("lang", F.lit("en"))
+    assert {r.lang_pred for r in bigru_langid.predict(odd, held_out=9).collect()} == {"und"}
+    assert bigru_langid.predict(line.limit(0)).count() == 0
+
+
 def test_gradients_and_held_out_languages(spark):
     model = bigru_langid.Model(["a", "b", "c"])
     for way in model.ways:
