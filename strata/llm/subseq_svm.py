@@ -251,10 +251,7 @@ def train(held: DataFrame, landmarks: int = LANDMARKS, rounds: int = ROUNDS, see
         x = [marks.vector(code) for code in found]
         # what a round took for the worst of clean texts stays a counterexample
         more_x, more_y = more_x + [v for v, s in zip(x, y) if s < 0], more_y + [s for s in y if s < 0]
-        fixed = [marks.vector(codes(w)) for w in bad] * 3
-        xs = np.array(x + fixed + more_x)
-        ys = np.array([*y, *[1] * len(fixed), *more_y])
-        w, _ = svm(xs, ys, STEPS, rng)
+        w, _ = svm(np.array(x + more_x), np.array([*y, *more_y]), STEPS, rng)
         weight = marks.weight(w)
     side, raw, _ = worst_windows(held, weight)
     raw, label = np.maximum(raw, 0.0), (1 + side) / 2

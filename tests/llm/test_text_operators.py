@@ -392,11 +392,12 @@ def test_logistic_fit_reaches_its_minimum(gap):
 
 
 def test_toxicity_of_the_given_labels(spark):
-    docs, labels = small(spark, "documents"), small(spark, "labels")
-    got = {r.doc_id: r.predicted for r in queries.op7_subseq_svm(spark, SF_SMALL).where("held_out").collect()}
-    held = [(r.toxic, got[r.doc_id]) for r in labels.collect() if r.doc_id in got]
-    assert not [1 for y, p in held if p and not y]
-    assert docs.count() >= len(got) > 0
+    d = SF_SMALL.replace("sf0.001", "sf0.01")
+    got = {r.doc_id: r.predicted for r in queries.op7_subseq_svm(spark, d).where("held_out").collect()}
+    held = [(r.toxic, got[r.doc_id]) for r in table(spark, d, "labels").collect() if r.doc_id in got]
+    bad = [p for y, p in held if y]
+    assert sum(bad) >= 0.6 * len(bad) > 0
+    assert sum(p for y, p in held if not y) <= 0.03 * len(held)
 
 
 def test_counts_of_landmark_words(spark):
