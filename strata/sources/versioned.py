@@ -358,10 +358,14 @@ class VersionedHistory(_Versioned):
         if prev is None or version_of(span["low"]) > prev:
             observed, past = given, None
         else:
-            observed = self._between(given, done, span["low"])
+            observed = self._between(given, done, span["low"]).persist()  # read by several joins and jobs
             past = span["low"]
-        rows, hit = self._changes(observed, done, past, list(tiebreak))
-        return {**self._write(rows, c, hit, given), "late_rows": span["late"]}
+        try:
+            rows, hit = self._changes(observed, done, past, list(tiebreak))
+            return {**self._write(rows, c, hit, given), "late_rows": span["late"]}
+        finally:
+            if past is not None:
+                observed.unpersist()
 
     def _refused(self, done: Sequence[Commit], prev: str | None, load_col: str, late: str, epoch: str | None) -> Column:
         t = F.col(load_col)

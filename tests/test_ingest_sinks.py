@@ -7,6 +7,7 @@ import json
 import os
 
 from strata.functions.timefns import format_ts, try_ts
+from strata.plans.q_stream import write_snapshots
 from strata.sources import snapshots, tables
 
 
@@ -88,3 +89,14 @@ def test_views_and_partition_counts(spark):
     assert got == {"2024-01-01": 1, "2024-01-02": 0, "2024-01-03": 2}
     hours = tables.partition_keys(spark, "2024-01-01 00:00:00", "2024-01-01 05:00:00", "hour").collect()
     assert [h.partition_key for h in hours][:2] == ["2024-01-01-00:00", "2024-01-01-01:00"] and len(hours) == 6
+
+
+def test_a_day_is_one_file_however_many_tasks_read_the_events(spark, scratch):
+    days = spark.range(600).selectExpr(
+        "id AS event_id", "timestampadd(DAY, cast(id % 3 as int), timestamp_ntz'2024-01-01 10:00:00') AS ts",
+        "id % 7 AS user_id", "'click' AS event_type", "id * 0.5 AS value", "'{}' AS props")
+    days.repartition(6).write.parquet(f"{scratch}/sf/events.parquet")
+    path = write_snapshots(spark, f"{scratch}/sf", f"{scratch}/landing")
+    files = {day: [f for f in os.listdir(f"{path}/{day}") if f.endswith(".json")] for day in os.listdir(path) if "=" in day}
+    assert {day: len(f) for day, f in files.items()} == {f"snapshot_day=2024-01-0{d}": 1 for d in (1, 2, 3)}
+    assert spark.read.json(path).count() == 600
