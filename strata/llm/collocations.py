@@ -5,17 +5,19 @@ these into words at blanks; phrases never cross a piece. Texts of a language
 are gathered into blocks. In a block, prefix sums of a polynomial over the bytes
 give every word's hash, and prefix sums over those hashes give the fingerprint
 of every phrase by one subtraction. A block emits a fingerprint once, with its
-number of occurrences and a pointer, the block.
+number of occurrences: at most four a word, packed by slice of the fingerprints,
+a row for each slice.
 
-A shuffle by fingerprint sums the occurrences. Only fingerprints that reach the
-minimum go back along their pointers to the blocks, which find the places,
+A shuffle by slice sums the occurrences. Only fingerprints that reach the
+minimum go back, packed by block, to their blocks, which find the places,
 compare them word by word, so that a group is one phrase, and read its text:
-frequent phrases alone are materialised. Counts are summed once more by that
-text, which parts phrases that share a fingerprint, so the result is exact at
+frequent phrases alone are materialised, packed by slice as before. Counts are
+summed once more by that text, which parts phrases that share a fingerprint, so the result is exact at
 any width of the fingerprint. Words and pairs go first; longer phrases are
 fingerprinted where all their pairs are frequent, which no frequent phrase fails.
 
-A block is one task's memory; everything else is spread by fingerprint or text.
+A block is one task's memory, and so is a slice; there are the more slices the
+more words. The rest is spread by text.
 A word in all texts is one row a block. The best phrases of a language are
 taken from salted parts first. Arithmetic is exact (long, decimal(38) products).
 
@@ -31,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -50,9 +53,10 @@ FOLD[list(b".,;:!?\n\x0b\x0c\r")] = END
 FOLD[9] = GAP
 
 BLOCKS = "block long, lang string, words long, data binary"
-GROUPS = "key long, pointer long"  # pointer: block << TIMES | occurrences in it
-TIMES = 24
-PHRASES = "lang string, phrase string, times long"
+GROUPS = "slice long, block long, keys binary, counts binary"  # int64 and int32 of one slice
+TIMES = 24  # bits of a count
+SLICES, SLICE_WORDS = 256, 1 << 20  # the fewest slices, and the most words for each
+PHRASES = "lang string, phrases array<string>, times array<long>"  # of one slice
 
 
 # --- one block, in numpy
@@ -121,21 +125,30 @@ class Block:
             differ |= word[1:] != word[:-1]
         return sorted_keys[1:] != sorted_keys[:-1], differ
 
-    def phrase(self, i: int, n: int) -> str:
-        return b" ".join(self.word(k) for k in range(i, i + n)).decode()
+    def phrases(self, first: np.ndarray, n: int, rows: int = 1 << 16) -> pa.Array:
+        """The ``n`` words from each of ``first`` on, a blank between them."""
+        return pa.concat_arrays([self._phrases(first[i:i + rows], n) for i in range(0, max(len(first), 1), rows)])
+
+    def _phrases(self, first, n):
+        word = (first[:, None] + np.arange(n)).ravel()
+        size = self.end[word] - self.start[word] + 1  # with the blank after it
+        stop = np.cumsum(size)
+        text = self.data[(np.arange(size.sum()) + np.repeat(self.start[word] - stop + size, size)).clip(max=len(self.data) - 1)]
+        text[stop - 1] = GAP
+        text = np.delete(text, stop[n - 1::n] - 1)  # none after the last word
+        ends = stop[n - 1::n] - np.arange(1, len(first) + 1)
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        return pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(text))
 
 
 def seed_of(lang: str) -> int:
     return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "big")
 
 
-def _sliced(columns: list, schema: pa.Schema, rows: int = 1 << 17) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(columns[0]), rows):
-        yield pa.RecordBatch.from_arrays([pa.array(c[i:i + rows], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
-GROUP_SCHEMA = pa.schema([("key", pa.int64()), ("pointer", pa.int64())])
-PHRASE_SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("times", pa.int64())])
+GROUP_SCHEMA = pa.schema([("slice", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+FOUND_SCHEMA = pa.schema([("block", pa.int64()), ("keys", pa.binary())])
+PHRASE_SCHEMA = pa.schema([("lang", pa.string()), ("phrases", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
+SUM_SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int64())])
 
 
 def _counted(number: int, keys: np.ndarray) -> list:
@@ -148,6 +161,33 @@ def _counted(number: int, keys: np.ndarray) -> list:
     return [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2
 
 
+def _binary(values: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """The values up to each stop as one binary value."""
+    offsets = np.concatenate([[0], stops * values.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(stops), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _packed(number: int, several: list[np.ndarray], slices: int) -> list:
+    """Columns of GROUPS: the different keys of each array with their counts, a row a slice (a power of two of them)."""
+    key, pointer = (np.concatenate(c) for c in zip(*(_counted(number, keys) for keys in several)))
+    order, used, stops = _by_slice(key, slices)
+    counts = (pointer[order] & ((1 << TIMES) - 1)).astype(np.int32)
+    return [pa.array(used), pa.array(np.full(len(used), number)), _binary(key[order], stops), _binary(counts, stops)]
+
+
+def _by_slice(key: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order by slice, the slices with keys and where each of them ends."""
+    of = (key & (slices - 1)).astype(np.uint16 if slices <= 1 << 16 else np.int64)  # short ones are sorted by radix
+    order = np.argsort(of, kind="stable")
+    stops = np.cumsum(np.bincount(of, minlength=slices))
+    used = np.flatnonzero(np.diff(stops, prepend=0))
+    return order, used, stops[used]
+
+
 # --- Spark
 
 def blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:
@@ -200,31 +240,44 @@ def opened(data: bytes, bits: int) -> Block:
     return Block(zstandard.ZstdDecompressor().decompress(data), bits)
 
 
-def short_groups(held: DataFrame, bits: int) -> DataFrame:
+def slices_of(held: DataFrame) -> int:
+    """A power of two, the more the more words there are."""
+    words = held.agg(F.sum("words")).first()[0] or 0
+    return max(SLICES, 1 << (words // SLICE_WORDS).bit_length())
+
+
+def short_groups(held: DataFrame, bits: int, slices: int) -> DataFrame:
     """GROUPS of every word and pair of every block."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 block, seed = opened(b["data"][i].as_py(), bits), seed_of(b["lang"][i].as_py())
-                for n in (1, 2):
-                    keys = block.keys(n, seed)[block.fits(n)]
-                    yield from _sliced(_counted(b["block"][i].as_py(), keys), GROUP_SCHEMA)
+                keys = [block.keys(n, seed)[block.fits(n)] for n in (1, 2)]
+                yield pa.RecordBatch.from_arrays(_packed(b["block"][i].as_py(), keys, slices), schema=GROUP_SCHEMA)
     return held.mapInArrow(count, GROUPS)
 
 
 def frequent(groups: DataFrame, least: int) -> DataFrame:
-    """(key, block) of the fingerprints that reach ``least`` occurrences in all."""
-    times = F.col("pointer").bitwiseAND((1 << TIMES) - 1)
-    total = F.sum(times).over(W.partitionBy("key"))
-    return (groups.withColumn("total", total).where(F.col("total") >= least)
-            .select("key", F.shiftright("pointer", TIMES).alias("block")))
-
-
-def phrases_at(held: DataFrame, found: DataFrame, bits: int, lengths: tuple, longest: int = 0) -> DataFrame:
-    """(lang, phrase, times) of the phrases of ``lengths`` words whose fingerprints
-    ``found`` names in a block and, up to ``longest`` words, the GROUPS of longer
-    phrases all of whose pairs are among them; one kind of column is NULL in a
-    row of the other."""
+    """(block, keys): the fingerprints of each block that reach ``least`` occurrences in all."""
+    def reach(rows: pa.Table) -> pa.Table:
+        keys, counts = _values(rows["keys"], np.int64), _values(rows["counts"], np.int32)
+        stops = np.cumsum(pc.binary_length(rows["keys"]).to_numpy() // 8)
+        order = np.argsort(keys)
+        border = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
+        total = np.add.reduceat(counts[order], border, dtype=np.int64)
+        kept = np.empty(len(keys), bool)
+        kept[order] = np.repeat(total >= least, np.diff(border, append=len(keys)))
+        left = np.cumsum(kept)[stops - 1]
+        used = np.flatnonzero(np.diff(left, prepend=0))
+        return pa.table([rows["block"].combine_chunks().take(pa.array(used)), _binary(keys[kept], left[used])], schema=FOUND_SCHEMA)
+    return groups.groupBy("slice").applyInArrow(reach, "block long, keys binary")
+
+
+def phrases_at(held: DataFrame, found: DataFrame, bits: int, lengths: tuple, slices: int, longest: int = 0) -> DataFrame:
+    """(lang, phrases, times) of the phrases of ``lengths`` words whose fingerprints
+    ``found`` names in a block, a row a slice, and, up to ``longest`` words, the
+    GROUPS of longer phrases all of whose pairs are among them; one kind of
+    column is NULL in a row of the other."""
     schema = pa.schema(list(PHRASE_SCHEMA) + list(GROUP_SCHEMA))
 
     def read(block_rows: pa.Table, key_rows: pa.Table) -> pa.Table:
@@ -232,41 +285,58 @@ def phrases_at(held: DataFrame, found: DataFrame, bits: int, lengths: tuple, lon
         if block_rows.num_rows and key_rows.num_rows:
             lang, number = block_rows["lang"][0].as_py(), block_rows["block"][0].as_py()
             block, seed = opened(block_rows["data"][0].as_py(), bits), seed_of(lang)
-            wanted = np.unique(key_rows["key"].to_numpy())
+            wanted = np.unique(_values(key_rows["keys"], np.int64))
             for n in lengths:
                 keys = block.keys(n, seed)
                 hit = np.flatnonzero(block.fits(n))
                 hit = hit[wanted[np.searchsorted(wanted, keys[hit]).clip(max=len(wanted) - 1)] == keys[hit]]
-                _, first, times = block.groups(n, keys, hit)
-                none = pa.nulls(len(first), pa.int64())
-                out.append(pa.table([pa.array([lang] * len(first), pa.string()), pa.array(
-                    [block.phrase(i, n) for i in first.tolist()], pa.string()), pa.array(times, pa.int64()), none, none], schema=schema))
+                key, first, times = block.groups(n, keys, hit)
+                order, used, stops = _by_slice(key, slices)
+                at = pa.array(np.concatenate([[0], stops]), pa.int32())
+                none = [pa.nulls(len(used), f.type) for f in list(GROUP_SCHEMA)[1:]]
+                out.append(pa.table([pa.array([lang] * len(used), pa.string()), pa.ListArray.from_arrays(
+                    at, block.phrases(first[order], n)), pa.ListArray.from_arrays(at, pa.array(times[order], pa.int64())),
+                    pa.array(used), *none], schema=schema))
                 if n == 2 and longest > 2:
                     pair = np.zeros(len(keys), bool)
                     pair[hit] = True
+                    several = []
                     for m in range(3, longest + 1):
                         size = max(len(block.start) - m + 1, 0)
                         good = np.ones(size, bool)
                         for j in range(m - 1):
                             good &= pair[j:j + size]
-                        key, pointer = _counted(number, block.keys(m, seed)[good])
-                        none = pa.nulls(len(key), pa.string())
-                        out.append(pa.table([none, none, pa.nulls(len(key), pa.int64()), pa.array(key), pa.array(pointer)], schema=schema))
+                        several.append(block.keys(m, seed)[good])
+                    packed = _packed(number, several, slices)
+                    none = [pa.nulls(len(packed[0]), f.type) for f in PHRASE_SCHEMA]
+                    out.append(pa.table([*none, *packed], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
     return (held.select("block", "lang", "data").groupBy("block")
             .cogroup(found.groupBy("block")).applyInArrow(read, f"{PHRASES}, {GROUPS}"))
 
 
+def summed(found: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, a) of the phrases that occur ``least`` times in all; a phrase is in one slice."""
+    def total(rows: pa.Table) -> pa.Table:
+        phrases, times = rows["phrases"].combine_chunks(), rows["times"].combine_chunks()
+        each = pa.table([rows["lang"].combine_chunks().take(pc.list_parent_indices(phrases)), phrases.flatten(), times.flatten()], schema=SUM_SCHEMA)
+        sums = each.group_by(["lang", "phrase"]).aggregate([("a", "sum")]).select(["lang", "phrase", "a_sum"])
+        return sums.filter(pc.greater_equal(sums["a_sum"], least)).rename_columns(SUM_SCHEMA.names)
+    return found.groupBy("slice").applyInArrow(total, "lang string, phrase string, a long")
+
+
 def counted(docs: DataFrame, least: int = 30, longest: int = 4, bits: int = 64, size: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, a) of all phrases of up to ``longest`` words that
     occur ``least`` times or more in their language, and (lang, n) of all its words."""
     held = blocks(docs, size)
-    short = stored(frequent(short_groups(held, bits), least), "short")
-    both = stored(phrases_at(held, short, bits, (1, 2), longest), "phrases")
-    long = stored(frequent(both.where(F.col("key").isNotNull()).select("key", "pointer"), least), "long")
-    found = both.where(F.col("phrase").isNotNull()).select("lang", "phrase", "times").unionByName(
-        phrases_at(held, long, bits, tuple(range(3, longest + 1))).select("lang", "phrase", "times"))
-    sums = found.groupBy("lang", "phrase").agg(F.sum("times").alias("a")).where(F.col("a") >= least)
+    slices = slices_of(held)
+    short = stored(frequent(short_groups(held, bits, slices), least), "short")
+    both = stored(phrases_at(held, short, bits, (1, 2), slices, longest), "phrases")
+    long = stored(frequent(both.where(F.col("keys").isNotNull()).select("slice", "block", "keys", "counts"), least), "long")
+    columns = ["lang", "slice", "phrases", "times"]
+    found = both.where(F.col("phrases").isNotNull()).select(*columns).unionByName(
+        phrases_at(held, long, bits, tuple(range(3, longest + 1)), slices).select(*columns))
+    sums = summed(found, least)
     return (stored(sums.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "a"), "frequent"),
             stored(held.groupBy("lang").agg(F.sum("words").alias("n")), "totals"))
 

@@ -125,3 +125,22 @@ def test_empty_table_and_given_documents(spark):
     assert C.mine(docs.limit(0)).count() == 0
     rows = [(r.text, r.lang) for r in docs.collect()]
     assert found(C.mine(docs)) == brute(rows)
+
+
+def test_a_block_gives_a_row_a_slice(spark):
+    held = C.blocks(frame(spark, ROWS).coalesce(1))
+    groups = C.short_groups(held, 64, 8).collect()
+    assert len({(r.slice, r.block) for r in groups}) == len(groups) <= 8 * held.count()
+    sizes = [(len(r["keys"]) // 8, len(r["counts"]) // 4) for r in groups]
+    assert all(a == b for a, b in sizes) and sum(a for a, _ in sizes) > 8 * held.count()
+    short = C.stored(C.frequent(C.short_groups(held, 64, 8), 30), "short")
+    both = C.phrases_at(held, short, 64, (1, 2), 8, 4).collect()
+    assert max(Counter((r.lang, r.slice, r["keys"] is None) for r in both).values()) <= 2 * held.count()
+
+
+def test_phrases_are_read_at_once():
+    block = C.Block(C.FOLD[np.frombuffer("née  Zwei\tdrei\nx y zwölf".encode(), np.uint8)].tobytes())
+    assert block.phrases(np.array([0, 1]), 2).to_pylist() == ["née zwei", "zwei drei"]
+    assert block.phrases(np.array([5, 3, 0]), 1, rows=2).to_pylist() == ["zwölf", "x", "née"]
+    assert block.phrases(np.array([3]), 3).to_pylist() == ["x y zwölf"]
+    assert block.phrases(np.empty(0, np.int64), 2).to_pylist() == []
