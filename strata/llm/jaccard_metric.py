@@ -11,11 +11,15 @@ each and are never expanded into pairs.
 
 Most documents are at distance 1 from any pivot that isn't a copy of them.
 The coarsest level therefore takes single shingles as pivots, in one order of
-all shingles (once-found ones first, then by the number of their texts; those
-that are not counted stand between rare and frequent ones): a document lies in
-the windows of its first n - ceil(t n) + 1 shingles, and sets with J >= t share
-one of those. The
-connected groups of these regions hold all links. A group of up to ``limit``
+all shingles (once-found ones first, then by the number of their texts): a
+document lies in the windows of its first n - ceil(t n) + 1 shingles, and sets
+with J >= t share one of those. Unrelated texts share single shingles as well,
+the more of them the larger the table, so the pairs of a region of up to
+``PAIRED`` documents are candidates only if their sizes and odd sketches allow a
+link: a sketch is the parity of a set's shingles in each of its bits, and two
+sets differ by at least as many shingles as their sketches by bits. The
+connected groups of the candidates, and of whole regions that are larger, hold
+all links. A group of up to ``limit``
 shingles joins in one task around document pivots; a larger one is first cut
 by Voronoi rounds in Spark, in salted blocks of bounded size. A region that
 no round makes smaller is joined block by block.
@@ -47,10 +51,11 @@ NUMBER, OF = 75, 100  # the threshold as a fraction
 LIMIT = 4_000_000  # shingles that a task joins at once
 PIVOTS = 16  # of a region and round
 HEAVY = 1 << 21  # at most so many frequent shingles are sent to all tasks (24 MB)
-MARKS, BITS = 1 << 23, 27  # at most so many repeated shingles are marked in a bitmap of 2^BITS (16 MB)
+BITS = 28  # repeated shingles are marked in a bitmap of 2^BITS at most (32 MB); a fuller one takes more once-found ones for repeated
 SENT = 1 << 18  # up to so many candidates are sent to the texts (12 MB), instead of dealing all texts out
-COUNTED = 2  # one shingle in so many is counted
-UNCOUNTED = 10  # the others stand where shingles of so many texts do in the order
+BUCKET, SLOT = 10, 30  # shingles are counted by their first bits: those of a bucket, and of their slot in it
+PACKED = 1 << 20  # shingles of a task that are packed at a time
+PAIRED = 16  # up to so many documents of a shingle make pairs
 READ = 1 << 20  # bytes of text whose shingles are made at a time
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -249,46 +254,143 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
         e = stored(small, name)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Odd sketch of a set: as many bits as it has shingles or up to twice as
+    many, each the parity of the shingles with these low bits."""
+    m = max(64, 1 << (len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1, bitorder="little").tobytes()
+
+
+def may_link(n: int, m: int, one: bytes, other: bytes, t: Fraction) -> bool:
+    """Whether sets of these sizes and sketches can be within the threshold."""
+    if min(n, m) * t.denominator < max(n, m) * t.numerator:
+        return False
+    if len(one) < len(other):
+        one, other = other, one
+    size, x = len(one) * 4, int.from_bytes(one, "little")
+    while size >= len(other) * 8:  # the sketch of half the bits
+        x = (x >> size) ^ (x & ((1 << size) - 1))
+        size //= 2
+    apart = (x ^ int.from_bytes(other, "little")).bit_count()
+    return apart * (t.denominator + t.numerator) <= (n + m) * (t.denominator - t.numerator)
+
+
+def _packed(sets: list[np.ndarray]) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """(bucket, size, gaps, more) of the shingles of some texts: the gaps between their
+    sorted slots, in three bytes or four each, and the place and number of
+    those that several of the texts hold."""
+    key, n = np.unique(np.concatenate(sets) >> np.uint64(64 - BUCKET - SLOT), return_counts=True)
+    slot = (key & np.uint64((1 << SLOT) - 1)).astype(np.uint32)
+    at = np.searchsorted(key, np.arange((1 << BUCKET) + 1, dtype=np.uint64) << np.uint64(SLOT)).tolist()
+    for bucket, (i, j) in enumerate(zip(at, at[1:], strict=False)):
+        if i < j:
+            gaps = np.diff(slot[i:j], prepend=np.uint32(0)).astype("<u4")
+            several = np.flatnonzero(n[i:j] > 1)
+            yield (bucket, j - i, (gaps.view(np.uint8).reshape(-1, 4)[:, :3] if gaps.max() < 1 << 24 else gaps).tobytes(),
+                   np.stack([several, n[i:j][several]]).astype("<u4").tobytes())
+
+
+def _unpacked(size: int, gaps: bytes, more: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slots, and those that several texts hold with their number."""
+    raw = np.frombuffer(gaps, np.uint8).reshape(size, -1)
+    wide = np.zeros((size, 4), np.uint8)
+    wide[:, :raw.shape[1]] = raw
+    slots = np.cumsum(wide.view("<u4")[:, 0], dtype=np.uint32)
+    several, n = np.frombuffer(more, "<u4").reshape(2, -1)
+    return slots, slots[several], n
+
+
 def _read(docs: DataFrame, width: int) -> DataFrame:
-    """Of one pass over the texts: a row (doc_id, node, n_shingles, sign) each,
-    sign being equal for equal sets, and rows (shingle, n) with how many texts
-    of a batch hold each of the counted shingles."""
+    """Of one pass over the texts: a row (doc_id, node, n_shingles, sign, sketch)
+    each, sign being equal for equal sets, and rows (bucket, size, gaps, more)
+    of the packed shingles of many texts."""
     schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n_shingles", pa.int64()), ("sign", pa.binary()),
-                        ("shingle", pa.int64()), ("n", pa.int64())])
+                        ("sketch", pa.binary()), ("bucket", pa.int32()), ("size", pa.int64()), ("gaps", pa.binary()), ("more", pa.binary())])
+
+    def batch(**own) -> pa.RecordBatch:
+        made = {k: v if isinstance(v, pa.Array) else pa.array(v, schema.field(k).type) for k, v in own.items()}
+        length = len(next(iter(made.values())))
+        return pa.RecordBatch.from_arrays([made[f.name] if f.name in made else pa.nulls(length, f.type) for f in schema], schema=schema)
+
+    def counts(sets: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, size, gaps, more = zip(*_packed(sets), strict=True)
+        return batch(bucket=bucket, size=size, gaps=gaps, more=more)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for b in (part for whole in batches for part in _slices(whole)):
-            size, sign, part = [], [], [np.empty(0, np.uint64)]
-            for s in shingle_sets(b["text"].to_pylist(), width):
-                size.append(len(s))
-                sign.append(np.bitwise_xor.reduce(s).tobytes() + mix(s ^ _MIX[1]).sum(dtype=np.uint64).tobytes())
-                part.append(s[s % np.uint64(COUNTED) == 0])
-            s, n = np.unique(np.concatenate(part), return_counts=True)
-            for own in ([b["doc_id"], b["node"], pa.array(size, pa.int64()), pa.array(sign, pa.binary()), None, None],
-                        [None, None, None, None, pa.array(s.view(np.int64)), pa.array(n, pa.int64())]):
-                length = next(len(x) for x in own if x is not None)
-                yield pa.RecordBatch.from_arrays([pa.nulls(length, f.type) if x is None else x
-                                                  for x, f in zip(own, schema, strict=True)], schema=schema)
-    return docs.mapInArrow(rows, "doc_id long, node long, n_shingles long, sign binary, shingle long, n long")
-
-
-def _bitmap(counted: DataFrame) -> np.ndarray:
-    """The low bits of all repeated shingles."""
-    at = counted.select(F.col("shingle").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("at")).toArrow()["at"].to_numpy()
-    out = np.zeros(1 << BITS - 3, np.uint8)
-    np.bitwise_or.at(out, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
-    return out
+            sets = shingle_sets(b["text"].to_pylist(), width)
+            yield batch(doc_id=b["doc_id"], node=b["node"], n_shingles=[len(s) for s in sets], sketch=[sketch(s) for s in sets], sign=[
+                np.bitwise_xor.reduce(s).tobytes() + mix(s ^ _MIX[1]).sum(dtype=np.uint64).tobytes() for s in sets])
+            for s in sets:
+                held.append(s)
+                n += len(s)
+                if n >= PACKED:
+                    yield counts(held)
+                    held, n = [], 0
+        if n:
+            yield counts(held)
+    return docs.mapInArrow(rows, "doc_id long, node long, n_shingles long, sign binary, sketch binary, bucket int, size long, gaps binary, more binary")
+
+
+STEPS = [2, 3, 4, 6, *(1 << i for i in range(3, 32))]
+
+
+def _counted(packed: DataFrame) -> DataFrame:
+    """A row (bucket, slots, numbers, above) each: the repeated shingles with the
+    number of their texts, and how many have at least so many texts as STEPS."""
+    def count(group: pa.Table) -> pa.Table:
+        parts = [_unpacked(*row) for row in zip(*(group[c].to_pylist() for c in ("size", "gaps", "more")), strict=True)]
+        slot, n = np.unique(np.concatenate([p[0] for p in parts]), return_counts=True)
+        for _, several, m in parts:
+            n[np.searchsorted(slot, several)] += m.astype(np.int64) - 1
+        slot, n = slot[n > 1], np.minimum(n[n > 1], (1 << 31) - 1)
+        return pa.table({"bucket": group["bucket"][:1], "slots": [slot.astype("<u4").tobytes()], "numbers": [n.astype("<u4").tobytes()],
+                         "above": pa.array([[int((n >= k).sum()) for k in STEPS]], pa.list_(pa.int64()))})
+    return packed.groupBy("bucket").applyInArrow(count, "bucket int, slots binary, numbers binary, above array<long>")
+
+
+def _frequent(counted: DataFrame, rare: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first bits of the shingles that at least ``rare`` texts hold, sorted, and their numbers."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for bucket, slots, numbers in zip(*(b[c].to_pylist() for c in ("bucket", "slots", "numbers")), strict=True):
+                n = np.frombuffer(numbers, "<u4")
+                key = np.frombuffer(slots, "<u4")[n >= rare].astype(np.int64) + (bucket << SLOT)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n[n >= rare].astype(np.int32))], names=["key", "n"])
+    out = counted.select("bucket", "slots", "numbers").mapInArrow(rows, "key long, n int").toArrow()
+    key, n = out["key"].to_numpy().view(np.uint64), out["n"].to_numpy()
+    by = np.argsort(key)
+    return key[by], n[by]
+
+
+def _bitmap(counted: DataFrame, bits: int) -> np.ndarray:
+    """The first ``bits`` bits of all repeated shingles, made bucket by bucket."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = []
+            for slots in b["slots"].to_pylist():
+                flags = np.zeros(1 << bits - BUCKET, bool)
+                flags[np.frombuffer(slots, "<u4") >> np.uint32(BUCKET + SLOT - bits)] = True
+                made.append(np.packbits(flags, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([b["bucket"], pa.array(made, pa.binary())], names=["bucket", "bits"])
+    out = np.zeros((1 << BUCKET, 1 << bits - BUCKET - 3), np.uint8)
+    part = counted.select("bucket", "slots").mapInArrow(rows, "bucket int, bits binary").toArrow()
+    for bucket, made in zip(part["bucket"], part["bits"], strict=True):
+        out[bucket.as_py()] = np.frombuffer(made.as_buffer(), np.uint8)
+    return out.reshape(-1)
 
 
 def _prefixes(docs: DataFrame, heavy, width: int, t: Fraction) -> DataFrame:
-    """(shingle, node) of the first shingles of every text, but those that the
-    bitmap knows to occur nowhere else; equal texts that a task meets again are left out, their
-    sets being linked by their sign."""
+    """(shingle, node, prev) of the first shingles of every text, but those that the
+    bitmap knows to occur nowhere else, prev being the one before in their order, or 0;
+    equal texts that a task meets again are left out, their sets being linked by their sign."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often, marks = heavy.value
+        short = np.uint64(BUCKET + SLOT - (len(marks) * 8).bit_length() + 1)
         met: set[int] = set()
         for b in (part for whole in batches for part in _slices(whole)):
-            found, nodes = [], []
+            found, nodes, prev = [], [], []
             for node, s in zip(b["node"].to_pylist(), shingle_sets(b["text"].to_pylist(), width), strict=True):
                 if not len(s):
                     continue
@@ -298,24 +400,100 @@ def _prefixes(docs: DataFrame, heavy, width: int, t: Fraction) -> DataFrame:
                 if len(met) < 200_000:
                     met.add(sign)
                 k = prefix_size(len(s), t)
-                group = np.where(s % np.uint64(COUNTED) == 0, 0, UNCOUNTED)
-                if marks is not None:
-                    at = s & np.uint64((1 << BITS) - 1)
-                    twice = marks[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1
-                    group[(group == 0) & (twice > 0)] = 2
+                key = s >> np.uint64(64 - BUCKET - SLOT)
+                at = key >> short
+                group = (marks[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(np.int64) * 2
                 if len(known):
-                    i = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    group = np.where(known[i] == s, 2 + often[i].astype(np.int64), group)
+                    i = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                    group = np.where(known[i] == key, 2 + often[i].astype(np.int64), group)
                 chosen = np.lexsort((s, group))[:k]
-                if marks is not None:  # the first kind is this text's alone
-                    chosen = chosen[group[chosen] != 0]
-                first = s[chosen]
-                found.append(first)
-                nodes.append(np.full(len(first), node, np.int64))
+                first = s[chosen[group[chosen] != 0]]  # the first kind is this text's alone
+                if len(first):
+                    found.append(first)
+                    nodes.append(np.full(len(first), node, np.int64))
+                    prev.append(np.concatenate([np.zeros(1, np.uint64), first[:-1]]))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)),
-                                                  pa.array(np.concatenate(nodes))], names=["shingle", "node"])
-    return docs.mapInArrow(rows, "shingle long, node long")
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(nodes)),
+                                                  pa.array(np.concatenate(prev).view(np.int64))], names=["shingle", "node", "prev"])
+    return docs.mapInArrow(rows, "shingle long, node long, prev long")
+
+
+class Pairs:
+    """Pairs of the nodes of each shingle, as rows sorted by it come by."""
+
+    def __init__(self, most: int = PAIRED):
+        self.most = most
+        self.rest = [np.empty(0, np.int64)] * 3
+        self.hot = False  # whether the first of the rest is the centre of a larger region
+
+    def take(self, shingle: np.ndarray, node: np.ndarray, prev: np.ndarray, last: bool = False) -> tuple[np.ndarray, ...]:
+        """(a, b, whole) of the shingles that are complete: all pairs of up to
+        ``most`` nodes, but those that the shingle before in the order of both
+        has given already; of a larger region each node and its centre, ``whole``."""
+        shingle, node, prev = (np.concatenate(x) for x in zip(self.rest, (shingle, node, prev), strict=True))
+        none = np.empty(0, np.int64)
+        if not len(shingle):
+            return none, none, none.astype(bool)
+        start = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
+        size = np.diff(np.append(start, len(shingle)))
+        whole = size > self.most
+        whole[0] |= self.hot
+        if last:
+            self.rest, self.hot, n = [none] * 3, False, len(shingle)
+        elif whole[-1]:  # goes on with its centre
+            self.rest, self.hot, n = [x[start[-1]:start[-1] + 1] for x in (shingle, node, prev)], True, len(shingle)
+        else:
+            self.rest, self.hot, n = [x[start[-1]:] for x in (shingle, node, prev)], False, start[-1]
+        run = np.repeat(np.arange(len(start)), size)[:n]
+        at = np.flatnonzero(whole[run])
+        a, b = [node[at]], [node[start[run[at]]]]
+        left = np.flatnonzero(~whole[run])
+        for gap in range(1, min(self.most, len(left))):
+            i, j = left[:-gap], left[gap:]
+            same = run[i] == run[j]
+            if not same.any():
+                break
+            i, j = i[same], j[same]
+            new = (prev[i] != prev[j]) | (prev[i] == 0)
+            a.append(node[i[new]])
+            b.append(node[j[new]])
+        first = len(a[0])
+        a, b = np.concatenate(a), np.concatenate(b)
+        whole = np.arange(len(a)) < first
+        return np.minimum(a, b)[a != b], np.maximum(a, b)[a != b], whole[a != b]
+
+
+def _pairs(prefixes: DataFrame) -> DataFrame:
+    """(a, b, whole) of the nodes that share a shingle."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work, held = Pairs(), []
+
+        def made(last: bool) -> pa.RecordBatch:
+            out = work.take(*(np.concatenate([np.empty(0, np.int64), *(b[c].to_numpy() for b in held)]) for c in ("shingle", "node", "prev")), last)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["a", "b", "whole"])
+        n = 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= 1 << 17:
+                yield made(False)
+                n = 0
+        yield made(True)
+    return (prefixes.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(rows, "a long, b long, whole boolean")
+            .groupBy("a", "b").agg(F.max("whole").alias("whole")))
+
+
+def _near(pairs: DataFrame, equal: DataFrame, t: Fraction) -> DataFrame:
+    """(a, b) of the pairs that may be linked, or belong to a region as a whole,
+    each node by the first one of an equal set."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [whole or may_link(*x, t) for whole, *x in zip(*(b[c].to_pylist() for c in ("whole", "na", "nb", "sa", "sb")), strict=True)]
+            yield pa.RecordBatch.from_arrays([b["fa"], b["fb"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    of = {x: equal.select(F.col("node").alias(x), F.col("first").alias(f"f{x}"), F.col("n_shingles").alias(f"n{x}"),
+                          F.col("sketch").alias(f"s{x}")) for x in "ab"}
+    return pairs.join(of["a"], "a").join(of["b"], "b").mapInArrow(rows, "a long, b long")
 
 
 def _joined(grouped: DataFrame, width: int, t: Fraction) -> DataFrame:
@@ -452,36 +630,25 @@ def components(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] =
     else:
         d = d.withColumn("node", F.coalesce("doc_id", own))
     read = stored(_read(d, width), "sets")
-    meta = read.where("shingle IS NULL").drop("shingle", "n")
-    counted = read.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n"))
-    counted = stored(counted.where("n > 1"), "shingles")  # once-found ones need no look-up
+    meta = read.where("bucket IS NULL").drop("bucket", "size", "gaps", "more")
+    counted = stored(_counted(read.where("bucket IS NOT NULL").select("bucket", "size", "gaps", "more")), "shingles")
     # the least number of texts that no more than HEAVY shingles have
-    steps = [2, 3, 4, 6, *(1 << i for i in range(3, 60))]
-    above = counted.agg(*(F.count(F.when(F.col("n") >= k, 1)) for k in steps)).first()
-    rare = next(k for k, n in zip(steps, above, strict=True) if n <= HEAVY)
-    often = counted.where(F.col("n") >= rare).select("shingle", F.least("n", F.lit((1 << 31) - 1)).cast("int").alias("n")).toArrow()
-    values = often["shingle"].to_numpy().view(np.uint64)
-    by = np.argsort(values)
-    heavy = spark.sparkContext.broadcast((values[by], often["n"].to_numpy()[by],
-                                           _bitmap(counted) if above[0] <= MARKS else None))
-    del often, values, by
-    rows = stored(_prefixes(d, heavy, width, t), "prefixes").repartition("shingle")  # dealt once for both uses
-    low = rows.groupBy("shingle").agg(F.min("node").alias("low"))
-    near = rows.join(low, "shingle").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    above = np.sum([np.zeros(len(STEPS), np.int64), *(r.above for r in counted.select("above").collect())], axis=0)
+    rare = next((k for k, n in zip(STEPS, above.tolist(), strict=True) if n <= HEAVY), STEPS[-1])
+    bits = min(BITS, max(BUCKET + 6, int(16 * above[0]).bit_length()))
+    heavy = spark.sparkContext.broadcast((*_frequent(counted, rare), _bitmap(counted, bits)))
+    pairs = _pairs(_prefixes(d, heavy, width, t))
 
     full = meta.where("n_shingles > 0")
     first = full.groupBy("n_shingles", "sign").agg(F.min("node").alias("first"))
-    equal = stored(full.select("node", "n_shingles", "sign").join(first, ["n_shingles", "sign"])
-                   .select("node", "first", "n_shingles").distinct(), "equal")
+    equal = stored(full.dropDuplicates(["node"]).join(first, ["n_shingles", "sign"]).select("node", "first", "n_shingles", "sketch"), "equal")
     copies = equal.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     # groups of candidates among the first texts of each set
-    name = equal.select("node", "first").groupBy("node").agg(F.min("first").alias("first"))
-    near = (near.join(name.toDF("a", "fa"), "a").join(name.toDF("b", "fb"), "b")
-            .select(F.col("fa").alias("a"), F.col("fb").alias("b")))
+    near = _near(pairs, equal, t)
     groups = stored(connected(near, "near"), "groups")
     members = groups.select("node", F.col("root").alias("region")).union(
         groups.select(F.col("root").alias("node"), F.col("root").alias("region")).distinct())
-    members = members.join(equal.select("node", "n_shingles").groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node")
+    members = members.join(equal.select("node", "n_shingles"), "node")
     sizes = members.groupBy("region").agg(F.sum("n_shingles").alias("size"))
     # the texts of the candidates, once, are all that is dealt from here on
     members = stored(members.join(sizes, "region").withColumn("home", F.lit(True)), "members")
