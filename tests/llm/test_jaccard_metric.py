@@ -9,6 +9,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from strata.llm import jaccard_metric as jm
 
 
@@ -16,22 +17,39 @@ def hashes(rng: random.Random, n: int) -> np.ndarray:
     return np.unique(np.array([rng.getrandbits(64) for _ in range(n)], np.uint64))
 
 
-def test_texts_that_only_share_passages_are_no_candidates(spark, monkeypatch):
-    passages = [" ".join(f"p{i}w{k}" for k in range(14)) for i in range(62)]
-    rows = [(i, " ".join(passages[i:i + 3])) for i in range(60)]  # each shares two of three passages with the next one
-    rows += [(100, rows[7][1] + " more"), (101, rows[50][1] + " and more")]
-    dealt, stored = {}, jm.stored
+PASSAGES = [" ".join(f"p{i}w{k}" for k in range(14)) for i in range(62)]
+CHAIN = [(i, " ".join(PASSAGES[i:i + 3])) for i in range(60)]  # each shares two of three passages with the next one
+
+
+@pytest.fixture
+def dealt(monkeypatch) -> dict[str, int]:
+    """How many rows each written table of the join has had."""
+    rows, stored = {}, jm.stored
 
     def seen(df, name, **options):
         out = stored(df, name, **options)
-        dealt[name] = out.count()
+        rows[name] = out.count()
         return out
     monkeypatch.setattr(jm, "stored", seen)
+    return rows
+
+
+def test_texts_that_only_share_passages_are_no_candidates(spark, dealt):
+    rows = CHAIN + [(100, CHAIN[7][1] + " more"), (101, CHAIN[50][1] + " and more")]
     got = jm.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == {i: i for i in range(60)} | {100: 7, 101: 50}
     assert dealt["texts"] < 12  # and not the whole chain
 
 
+def test_the_pipeline_deals_no_texts_that_only_share_passages(spark, dealt):
+    rows = [(i, text, "s", "en") for i, text in [*CHAIN, (100, CHAIN[7][1] + " more"), (None, CHAIN[9][1])]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect(), key=str) == sorted((r for r in docs.collect() if r.doc_id != 100), key=str)
+    assert dealt["texts"] < 12
+
+
 def test_components_do_not_depend_on_how_full_the_bitmap_is(spark, monkeypatch):
     rng, rows = random.Random(3), []
     words = [f"w{k}" for k in range(60)]
